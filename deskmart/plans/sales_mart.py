@@ -149,7 +149,7 @@ def sales_rows(
     rows = hot.left_join(rows, free, sale)
     rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), sale)
     rows = hot.left_join(rows, tags, [RES, MONTH])
-    rows = with_latest_promo(rows, latest_promo(active), hot)
+    rows = with_latest_promo(rows, latest_promo(active.filter(F.col("reservation_uuid").isNotNull())), hot)
     return hot.left_join(rows, notes, [RES])
 
 
