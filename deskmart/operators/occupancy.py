@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmart.functions.expr import ratio, sku_bucket
@@ -31,11 +31,10 @@ def forward_occupancy_by_sku(active: DataFrame, as_of: date | None) -> DataFrame
     )
 
 
-def forward_occupancy(active: DataFrame, as_of: date | None) -> DataFrame:
-    """Next three months per building, rolled up from the SKU level so that both share one scan."""
+def forward_occupancy(by_sku: DataFrame) -> DataFrame:
+    """Next three months per building, rolled up from :func:`forward_occupancy_by_sku`."""
     return (
-        forward_occupancy_by_sku(active, as_of)
-        .groupBy("location_uuid", "location_name")
+        by_sku.groupBy("location_uuid", "location_name")
         .agg(F.sum("SKU_occ").alias("n3m_AddOccup"), F.sum("SKU_capacity").alias("n3m_AddCap"))
         .withColumn("n3m_Occupancy", ratio("n3m_AddOccup", "n3m_AddCap"))
     )
@@ -69,3 +68,20 @@ def location_occupancy(by_sku_group: DataFrame) -> DataFrame:
     return by_sku_group.groupBy("date", "location_uuid").agg(
         F.sum("sku_occupancy").alias("building_occupancy"), F.sum("sku_capacity").alias("building_capacity")
     )
+
+
+def occupancy_levels(active: DataFrame) -> DataFrame:
+    """Occupancy per date, building and SKU bucket next to that of the whole building.
+
+    One scan and one roll-up serve both levels. The window runs over the buckets of
+    a building and date, five rows at most. The unknown bucket keeps its row, with
+    no bucket value, so that every space finds its building.
+    """
+    whole = Window.partitionBy("date", "location_uuid")
+    return sku_group_occupancy(active).select(
+        "date",
+        "location_uuid",
+        "sku_group",
+        F.when(F.col("sku_group").isNotNull(), F.col("sku_occupancy")).alias("sku_occupancy"),
+        F.sum("sku_occupancy").over(whole).alias("building_occupancy"),
+    )

@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskmart.operators.sizing import materialize
 from deskmart.operators.skew import HotKeys
 
 _LOCAL_ROW_BITS = 33  # fixed by monotonically_increasing_id: partition above, row below
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
-
-    Uses ``spark.checkpoint.dir``. Only a local session may fall back to a folder
-    of its own; on a cluster such a folder would be lost with its machine.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="deskmart-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def number_rows(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
     """Number the rows 1..n in ``order_by`` order without one task seeing them all.
 
@@ -57,15 +40,18 @@ def number_rows(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFra
     )
 
 
-def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str, hot: HotKeys | None = None) -> DataFrame:
-    """Attach the sum of ``value`` over each ``keys`` group.
+def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str, hot: HotKeys) -> DataFrame:
+    """Attach the sum of ``value`` over each ``keys`` group; ``hot`` is counted on ``keys[0]``.
 
-    An aggregate plus join instead of a window: partial sums shrink a hot group
-    before the shuffle, and the join back can be spread. ``df`` is read twice, so
-    it should be a scan or a materialised frame.
+    No hot key means that every group fits a task, and one window does. Otherwise
+    the rows are materialised and read twice: partial sums shrink the hot group
+    before the shuffle, and the totals come back through a salted join.
     """
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(name))
-    return (hot or HotKeys.none()).left_join(df, totals, keys, null_safe=True)
+    if keys[0] not in hot.salts:
+        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
+    fixed = materialize(df)
+    totals = fixed.groupBy(*keys).agg(F.sum(value).alias(name))
+    return hot.left_join(fixed, totals, keys, null_safe=True)
 
 
 def running_over_groups(

@@ -52,42 +52,46 @@ class HotKeys:
         return cls(salts)
 
     def left_join(
+        self, left: DataFrame, right: DataFrame, on: Sequence[str], hot: str | None = None, residual: Column | None = None,
+        null_safe: bool = False,
+    ) -> DataFrame:
+        """Left join on the equally named columns ``on``; see :meth:`join`."""
+        return self.join(left, right, on, "left", hot, residual, null_safe)
+
+    def join(
         self,
-        left: DataFrame,
-        right: DataFrame,
+        many: DataFrame,
+        few: DataFrame,
         on: Sequence[str],
+        how: str,
         hot: str | None = None,
         residual: Column | None = None,
         null_safe: bool = False,
     ) -> DataFrame:
-        """Left join on the equally named columns ``on``, keeping one copy of them.
-
-        ``hot`` names the counted column behind ``on[0]`` when it is called otherwise
-        there. Rows of a hot key are spread over salts; the right rows of that key
-        are repeated once per salt. ``residual`` may use the other columns of both
-        sides; ``null_safe`` lets NULL keys match each other.
+        """Join on the equally named columns ``on``, keeping one copy of them.
+
+        Rows of ``many`` with a hot key are spread over salts, and the rows of ``few``
+        with that key are repeated once per salt: fine for ``left`` and ``inner``; a
+        ``right`` join then yields an unmatched row of ``few`` once per salt, for the
+        caller to fold. ``hot`` names the counted column when ``on[0]`` is called
+        otherwise there. ``residual`` may use the other columns of both sides;
+        ``null_safe`` lets NULL keys match each other.
         """
-        return self._join(left, right, on, hot, residual, null_safe, "left")
-
-    def inner_join(
-        self, many: DataFrame, few: DataFrame, on: Sequence[str], hot: str | None = None, residual: Column | None = None
-    ) -> DataFrame:
-        """Inner join that spreads the hot keys of ``many`` and repeats the rows of ``few``."""
-        return self._join(many, few, on, hot, residual, False, "inner")
-
-    def _join(self, left, right, on, hot, residual, null_safe, how) -> DataFrame:
         keys, salts = list(on), self.salts.get(hot or on[0])
         if salts:
-            left, right = _salted(left, right, on[0], salts)
+            many, few = _salted(many, few, on[0], salts)
             keys.append("_salt")
         if residual is None and not null_safe:
-            return left.join(right, keys, how).drop("_salt")
-        right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+            return many.join(few, keys, how).drop("_salt")
+        if how == "right":
+            many = many.withColumnsRenamed({k: f"_o_{k}" for k in keys})
+        else:
+            few = few.withColumnsRenamed({k: f"_o_{k}" for k in keys})
         condition = F.lit(True) if residual is None else residual
         for k in keys:
-            other = F.col(f"_r_{k}")
+            other = F.col(f"_o_{k}")
             condition = (F.col(k).eqNullSafe(other) if null_safe else F.col(k) == other) & condition
-        return left.join(right, condition, how).drop("_salt", *[f"_r_{k}" for k in keys])
+        return many.join(few, condition, how).drop("_salt", *[f"_o_{k}" for k in keys])
 
 
 def _salted(spread: DataFrame, repeated: DataFrame, key: str, salts: Mapping[str | None, int]):

@@ -37,6 +37,7 @@ from deskmart.operators.population import (
 from deskmart.operators.promos import latest_promo, note_tags, promo_label
 from deskmart.operators.rates import monthly_rates, vat_factors
 from deskmart.operators.relocation import relocation_deals
+from deskmart.operators.sizing import measured
 from deskmart.operators.skew import ROWS_PER_TASK, HotKeys
 from deskmart.sources.roles import Roles
 
@@ -92,6 +93,59 @@ def resulting_desks():
     return F.when(~F.col("reservation_deal_activity").isin(*CLOSING_ACTIVITIES), F.col("primary_reservation_capacity_today"))
 
 
+# What the lookups of a sale depend on; few columns next to the width of a sale.
+LOOKUP_KEY = [
+    RES,
+    DEAL,
+    MONTH,
+    "salesforce_opportunity_id",
+    "reservable_uuid",
+    "term",
+    "initial_sale_date",
+    "resulting_commitment_term_start",
+    "resulting_commitment_term_end",
+]
+
+
+def sale_lookups(
+    sold: DataFrame, roles: Roles, brand: Brand, active: DataFrame, rules: Sequence[PromoRule], hot: HotKeys,
+    hot_versions: HotKeys,
+) -> DataFrame:
+    """All lookups keyed by ids of a sale, on its distinct :data:`LOOKUP_KEY`.
+
+    Each lookup has another key, so each moves its rows. Here the moving rows are
+    the ids alone; the wide sales meet the finished lookups in a single join. Since
+    the lookups depend on the key only, that join multiplies a sale exactly as the
+    separate joins would. The note text comes last, so no shuffle here carries it.
+    """
+    sale = [RES, DEAL, MONTH]
+    free = free_months(free_month_records(roles.records, monthly_rate(roles.deals, brand))).drop("MRR")
+    mails = sale_emails(
+        roles.deals, opportunity_emails(roles.opportunities, roles.team_members, roles.users), hot
+    ).drop("salesforce_opportunity_id")
+    referrals = roles.opportunities.select(
+        F.col("sf_opportunity_id").alias("salesforce_opportunity_id"), "referral_type"
+    )
+    tags = measured(
+        note_tags(roles.reservations, rules).select(
+            F.col("uuid").alias(RES), F.col("created_month").alias(MONTH), F.col("rule").alias("_note_rule")
+        )
+    )
+    notes = roles.reservations.select(F.col("uuid").alias(RES), "notes").distinct()
+    discounts = sale_discounts(sold, roles.discount_versions, hot_versions)
+    promos = latest_promo(active.filter(F.col("reservation_uuid").isNotNull()))
+
+    rows = sold.select(*LOOKUP_KEY).distinct()
+    rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"])
+    rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
+    rows = hot.left_join(rows, mails, sale)
+    rows = hot.left_join(rows, free, sale)
+    rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), sale)
+    rows = hot.left_join(rows, tags, [RES, MONTH])
+    rows = with_latest_promo(rows, promos, hot)
+    return hot.left_join(rows, notes, [RES])
+
+
 def sales_rows(
     roles: Roles,
     brand: Brand,
@@ -102,55 +156,41 @@ def sales_rows(
 ) -> DataFrame:
     """The filtered sales with everything joined, before totals and numbering.
 
-    Filters run first, then the joins to small tables, then those that move rows;
-    the note text comes last, so no earlier shuffle carries it.
+    Filters and the joins to small tables leave the wide rows in place; the lookups
+    then arrive in one join.
     """
     hot = hot or HotKeys.none()
     hot_versions = HotKeys.find(roles.discount_versions, ["reservable_uuid"], rows_per_task)
-    sold = roles.deals.filter(reported_sale(brand))
-    active = active_spaces(roles.spaces, roles.accounts)
+    sold = roles.deals.filter(reported_sale(brand)).withColumn(
+        "term", discount_term_bucket("resulting_commitment_term_months")
+    )
+    active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
 
     buildings = reported_territories(roles.locations).select(
         F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
     )
-    ahead = forward_occupancy(active, as_of).drop("location_name")
-    ahead_by_sku = forward_occupancy_by_sku(active, as_of).select("location_uuid", "sku", "SKU_occ", "SKU_capacity")
-    now = current_occupancy(active, roles.locations).select(
-        F.col("report_month").alias(MONTH), "location_uuid", "occ_current", "cap_current"
+    by_sku = measured(forward_occupancy_by_sku(active, as_of))
+    ahead = measured(forward_occupancy(by_sku).drop("location_name"))
+    ahead_by_sku = by_sku.select("location_uuid", "sku", "SKU_occ", "SKU_capacity")
+    now = measured(
+        current_occupancy(active, roles.locations).select(
+            F.col("report_month").alias(MONTH), "location_uuid", "occ_current", "cap_current"
+        )
     )
     listed = roles.exclusions.select(
         DEAL, F.col("reservation_uuid").alias(RES), "reason_for_exclusion", F.lit(True).alias("_listed")
     )
-    free = free_months(free_month_records(roles.records, monthly_rate(roles.deals, brand))).drop("MRR")
-    mails = sale_emails(
-        roles.deals, opportunity_emails(roles.opportunities, roles.team_members, roles.users), hot
-    ).drop("salesforce_opportunity_id")
-    referrals = roles.opportunities.select(
-        F.col("sf_opportunity_id").alias("salesforce_opportunity_id"), "referral_type"
-    )
-    tags = note_tags(roles.reservations, rules).select(
-        F.col("uuid").alias(RES), F.col("created_month").alias(MONTH), F.col("rule").alias("_note_rule")
-    )
-    notes = roles.reservations.select(F.col("uuid").alias(RES), "notes").distinct()
+    moved = measured(relocation_deals(roles.desks, roles.reservables, roles.exits))
 
-    rows = sold.drop("country", "market").join(buildings, "location_uuid")
-    rows = with_adjusted_sales(rows, relocation_deals(roles.desks, roles.reservables, roles.exits), hot)
+    rows = sold.join(buildings, "location_uuid")
+    rows = with_adjusted_sales(rows, moved, hot)
     rows = keep_unless_reason(hot.left_join(rows, listed, [RES, DEAL]), F.col("_listed"))
     rows = rows.join(monthly_rates(roles.rates, MONTH, "currency"), [MONTH, "currency"], "left")
     rows = rows.join(ahead, "location_uuid", "left")
     rows = rows.join(ahead_by_sku, ["location_uuid", "sku"], "left")
     rows = rows.join(now, [MONTH, "location_uuid"], "left")
-    rows = rows.withColumn("term", discount_term_bucket("resulting_commitment_term_months"))
-    discounts = sale_discounts(sold, roles.discount_versions, hot_versions)
-    rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"])
-    rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
-    sale = [RES, DEAL, MONTH]
-    rows = hot.left_join(rows, mails, sale)
-    rows = hot.left_join(rows, free, sale)
-    rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), sale)
-    rows = hot.left_join(rows, tags, [RES, MONTH])
-    rows = with_latest_promo(rows, latest_promo(active.filter(F.col("reservation_uuid").isNotNull())), hot)
-    return hot.left_join(rows, notes, [RES])
+    lookups = sale_lookups(sold, roles, brand, active, rules, hot, hot_versions)
+    return hot.left_join(rows, lookups, LOOKUP_KEY, null_safe=True)
 
 
 def sales_mart(
@@ -159,23 +199,21 @@ def sales_mart(
     as_of: date | None = None,
     rules: Sequence[PromoRule] = PROMO_RULES,
     rows_per_task: int | None = ROWS_PER_TASK,
-    sort: bool = True,
 ) -> DataFrame:
-    """The 69 columns of the mart, ordered by ``Row_Number``.
+    """The 69 columns of the mart, in ``Row_Number`` order.
 
     Sales that a join multiplies stay multiplied, each with its own number, as in
-    the report this reproduces; ``quality.duplicates`` shows them. ``sort=False``
-    saves the last shuffle when the order of the written rows does not matter.
+    the report this reproduces; ``quality.duplicates`` shows them.
     """
     hot = HotKeys.find(
         roles.deals, [DEAL, RES, "salesforce_opportunity_id", "reservable_uuid"], rows_per_task
     )
     rows = sales_rows(roles, brand, as_of, rules, hot, rows_per_task).withColumn("resulting_desks", resulting_desks())
-    rows = number_rows(rows, [F.asc_nulls_last(c) for c in NUMBER_ORDER], "Row_Number")
     rows = with_group_total(rows, [DEAL, MONTH], "resulting_desks", "deal_capacity", hot)
+    rows = number_rows(rows, [F.asc_nulls_last(c) for c in NUMBER_ORDER], "Row_Number")
     months = "resulting_commitment_term_months"
     rows = with_policy(rows.withColumn("max_discount", F.coalesce("recommended_discount", F.lit(0.0))))
-    out = rows.select(
+    return rows.select(
         "Row_Number",
         MONTH,
         "initial_sale_date",
@@ -248,7 +286,6 @@ def sales_mart(
         "gross_desk_sales_mod",
         "_run_at",
     )
-    return out.orderBy("Row_Number") if sort else out
 
 
 # The report orders by the first three; the others settle sales that a join multiplied.

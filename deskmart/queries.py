@@ -29,6 +29,7 @@ from deskmart.operators import (
     relocation,
     renewals,
 )
+from deskmart.operators.skew import HotKeys
 from deskmart.plans import inventory_mart as inventory
 from deskmart.plans import sales_mart as sales
 from deskmart.sources.adapter import LazyRoles
@@ -296,7 +297,7 @@ def current_occupancy(r):
 
 @query
 def forward_occupancy(r):
-    return occupancy.forward_occupancy(_active(r), AS_OF)
+    return occupancy.forward_occupancy(occupancy.forward_occupancy_by_sku(_active(r), AS_OF))
 
 
 @query
@@ -485,7 +486,8 @@ def latest_promo_join(r):
 @query
 def deal_size_band(r):
     rows = r.deals.select(*SALE, sales.resulting_desks().alias("resulting_desks"))
-    rows = ordering.with_group_total(rows, ["deal_uuid", SALE[0]], "resulting_desks", "deal_capacity")
+    hot = HotKeys.find(r.deals, ["deal_uuid"])
+    rows = ordering.with_group_total(rows, ["deal_uuid", SALE[0]], "resulting_desks", "deal_capacity", hot)
     return rows.withColumn("deal_capacity_group", X.deal_size_band("deal_capacity"))
 
 
