@@ -21,7 +21,7 @@ from deskmart.functions.expr import (
 from deskmart.functions.promo_rules import PROMO_RULES, PromoRule
 from deskmart.operators.contacts import opportunity_emails, sale_emails
 from deskmart.operators.discounts import sale_discounts
-from deskmart.operators.free_months import free_month_records, free_months, monthly_rate
+from deskmart.operators.free_months import free_months, monthly_rate
 from deskmart.operators.occupancy import current_occupancy, forward_occupancy, forward_occupancy_by_sku
 from deskmart.operators.ordering import number_rows, with_group_total
 from deskmart.operators.population import (
@@ -119,7 +119,7 @@ def sale_lookups(
     separate joins would. The note text comes last, so no shuffle here carries it.
     """
     sale = [RES, DEAL, MONTH]
-    free = free_months(free_month_records(roles.records, monthly_rate(roles.deals, brand))).drop("MRR")
+    free = free_months(roles.records, monthly_rate(roles.deals, brand)).drop("MRR")
     mails = sale_emails(
         roles.deals, opportunity_emails(roles.opportunities, roles.team_members, roles.users), hot
     ).drop("salesforce_opportunity_id")

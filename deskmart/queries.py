@@ -429,20 +429,16 @@ def mrr(r):
     return free_months.monthly_rate(r.deals, BRAND).select(*SALE, "MRR")
 
 
-def _free_records(r):
-    return free_months.free_month_records(r.records, free_months.monthly_rate(r.deals, BRAND))
-
-
 @query
 def free_month_detect(r):
-    return _free_records(r).select(
+    return free_months.free_month_records(r.records, free_months.monthly_rate(r.deals, BRAND)).select(
         *SALE, "price_id", "applied_months", "price_local", "MRR", "disc_desk_months", "is_free_month"
     )
 
 
 @query
 def free_months_rollup(r):
-    return free_months.free_months(_free_records(r))
+    return free_months.free_months(r.records, free_months.monthly_rate(r.deals, BRAND))
 
 
 QUERIES["free_months"] = QUERIES.pop("free_months_rollup")
@@ -450,7 +446,7 @@ QUERIES["free_months"] = QUERIES.pop("free_months_rollup")
 
 @query
 def net_desk_months(r):
-    free = free_months.free_months(_free_records(r))
+    free = free_months.free_months(r.records, free_months.monthly_rate(r.deals, BRAND))
     return r.deals.join(free, SALE, "left").select(
         *SALE,
         (F.col("desk_months") - F.zeroifnull("disc_desk_months")).alias("desk_months_xfm"),

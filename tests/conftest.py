@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.maxMetadataStringLength", "4000")
+        .config("spark.sql.codegen.cache.maxEntries", "4000")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
