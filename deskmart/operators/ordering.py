@@ -41,13 +41,13 @@ def number_rows(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFra
 
 
 def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str, hot: HotKeys) -> DataFrame:
-    """Attach the sum of ``value`` over each ``keys`` group; ``hot`` is counted on ``keys[0]``.
+    """Attach the sum of ``value`` over each ``keys`` group; ``hot`` is counted on ``keys``.
 
     No hot key means that every group fits a task, and one window does. Otherwise
     the rows are materialised and read twice: partial sums shrink the hot group
     before the shuffle, and the totals come back through a salted join.
     """
-    if keys[0] not in hot.salts:
+    if tuple(keys) not in hot.salts:
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
     fixed = materialize(df)
     totals = fixed.groupBy(*keys).agg(F.sum(value).alias(name))

@@ -4,8 +4,8 @@ Adaptive execution already turns a join whose measured right side is small into
 broadcast join and splits skewed partitions of a single join. It cannot split when
 several joins share one partitioning, and it never splits a group before an
 aggregate. :class:`HotKeys` covers the joins that may meet such a key: it counts
-the join keys of the fact in a sample, and spreads each key above ``rows_per_task`` over
-just enough salts. Without hot keys the plain join is planned.
+the join keys of the fact in a sample, and spreads each key above ``rows_per_task``
+over just enough salts. Without hot keys the plain join is planned.
 """
 
 from __future__ import annotations
@@ -19,46 +19,61 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 4_000_000
 SAMPLE_HITS = 4_000
 
+Key = tuple[str, ...]
+
+
+def _key_hash(key: Sequence[str]) -> Column:
+    """Id of a key value, the same on both sides of a join whatever the column types.
+
+    Two values with one id would merely share their salts.
+    """
+    return F.xxhash64(*[F.col(c).cast("string") for c in key])
+
 
 class HotKeys:
-    """Keys that occur in more than ``rows_per_task`` rows, per column, with their salt counts."""
+    """Values of (composite) keys that occur in more than ``rows_per_task`` rows, with their salt counts."""
 
-    def __init__(self, salts: Mapping[str, Mapping[str | None, int]]):
-        self.salts = {c: dict(v) for c, v in salts.items() if v}
+    def __init__(self, salts: Mapping[Key, Mapping[int, int]]):
+        self.salts = {tuple(k): dict(v) for k, v in salts.items() if v}
 
     @classmethod
     def none(cls) -> HotKeys:
         return cls({})
 
     @classmethod
-    def find(cls, fact: DataFrame, columns: Sequence[str], rows_per_task: int | None = ROWS_PER_TASK) -> HotKeys:
-        """Count all ``columns`` in one pass over their pruned scan.
-
-        The counts only decide how many salts a key gets, never which rows are
-        kept, so a sample is enough: a key at the bound is expected ``SAMPLE_HITS``
-        times in it. At most ``len(columns) * rows / rows_per_task`` keys pass the
-        filter; the collected list is short. ``None`` skips the pass and leaves
-        skew to adaptive execution alone.
+    def find(cls, fact: DataFrame, keys: Sequence[Key], rows_per_task: int | None = ROWS_PER_TASK) -> HotKeys:
+        """Count all ``keys``, NULL values included, in one pass over their pruned scan.
+
+        The counts only decide how many salts a value gets, never which rows are
+        kept, so a sample is enough: a value at the bound is expected
+        ``SAMPLE_HITS`` times in it. At most ``len(keys) * rows / rows_per_task``
+        values pass the filter; the collected list is short. ``None`` skips the
+        pass and leaves skew to adaptive execution alone.
         """
         if rows_per_task is None:
             return cls.none()
         share = min(1.0, SAMPLE_HITS / rows_per_task)
         if share < 1.0:
             fact = fact.sample(fraction=share, seed=7)
-        pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("k")) for c in columns])
+        ids = F.array(*[F.struct(F.lit(i).alias("key"), _key_hash(k).alias("id")) for i, k in enumerate(keys)])
         heavy = (
-            fact.select(F.explode(pairs).alias("p"))
-            .groupBy("p.c", "p.k")
+            fact.select(F.explode(ids).alias("p"))
+            .groupBy("p.key", "p.id")
             .agg(F.count("*").alias("n"))
             .filter(F.col("n") > rows_per_task * share)
         )
-        salts: dict[str, dict[str | None, int]] = {}
+        salts: dict[Key, dict[int, int]] = {}
         for row in heavy.collect():
-            salts.setdefault(row.c, {})[row.k] = math.ceil(row.n / (rows_per_task * share))
+            salts.setdefault(tuple(keys[row.key]), {})[row.id] = math.ceil(row.n / (rows_per_task * share))
         return cls(salts)
 
     def left_join(
-        self, left: DataFrame, right: DataFrame, on: Sequence[str], hot: str | None = None, residual: Column | None = None,
+        self,
+        left: DataFrame,
+        right: DataFrame,
+        on: Sequence[str],
+        hot: Key | None = None,
+        residual: Column | None = None,
         null_safe: bool = False,
     ) -> DataFrame:
         """Left join on the equally named columns ``on``; see :meth:`join`."""
@@ -70,22 +85,22 @@ class HotKeys:
         few: DataFrame,
         on: Sequence[str],
         how: str,
-        hot: str | None = None,
+        hot: Key | None = None,
         residual: Column | None = None,
         null_safe: bool = False,
     ) -> DataFrame:
         """Join on the equally named columns ``on``, keeping one copy of them.
 
-        Rows of ``many`` with a hot key are spread over salts, and the rows of ``few``
-        with that key are repeated once per salt: fine for ``left`` and ``inner``; a
+        ``hot`` is the counted key, ``on`` itself or some of its columns. Rows of
+        ``many`` with a hot value are spread over salts, and the rows of ``few`` with
+        that value are repeated once per salt: fine for ``left`` and ``inner``; a
         ``right`` join then yields an unmatched row of ``few`` once per salt, for the
-        caller to fold. ``hot`` names the counted column when ``on[0]`` is called
-        otherwise there. ``residual`` may use the other columns of both sides;
+        caller to fold. ``residual`` may use the other columns of both sides;
         ``null_safe`` lets NULL keys match each other.
         """
-        keys, salts = list(on), self.salts.get(hot or on[0])
-        if salts:
-            many, few = _salted(many, few, on[0], salts)
+        keys, key = list(on), tuple(hot or on)
+        if salts := self.salts.get(key):
+            many, few = _salted(many, few, key, salts)
             keys.append("_salt")
         if residual is None and not null_safe:
             return many.join(few, keys, how).drop("_salt")
@@ -100,17 +115,17 @@ class HotKeys:
         return many.join(few, condition, how).drop("_salt", *[f"_o_{k}" for k in keys])
 
 
-def _salted(spread: DataFrame, repeated: DataFrame, key: str, salts: Mapping[str | None, int]):
+def _salted(spread: DataFrame, repeated: DataFrame, key: Key, salts: Mapping[int, int]) -> tuple[DataFrame, DataFrame]:
     """Give every row of ``spread`` one salt of its key, every row of ``repeated`` all of them.
 
     The salt follows from the row and its input partition, so a recomputed task
     deals the same salts and exact copies of a row still part ways.
     """
-    # Bounded by HotKeys.find: one short row per hot key.
-    table = F.broadcast(spread.sparkSession.createDataFrame(list(salts.items()), "_hot_key string, _salts int"))
+    # Bounded by HotKeys.find: one short row per hot value.
+    table = F.broadcast(spread.sparkSession.createDataFrame(list(salts.items()), "_hot_id long, _salts int"))
 
     def sized(df: DataFrame) -> DataFrame:
-        return df.join(table, F.col(key).cast("string").eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+        return df.withColumn("_id", _key_hash(key)).join(table, F.col("_id") == F.col("_hot_id"), "left").drop("_id", "_hot_id")
 
     number = F.coalesce("_salts", F.lit(1))
     content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread.columns])

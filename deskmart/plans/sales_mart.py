@@ -74,7 +74,7 @@ def with_latest_promo(deals: DataFrame, promos: DataFrame, hot: HotKeys | None =
             "_end": F.col("resulting_commitment_term_end").cast("timestamp_ntz"),
         }
     )
-    return (hot or HotKeys.none()).left_join(rows, right, [RES, "_start", "_end"]).drop("_start", "_end")
+    return (hot or HotKeys.none()).left_join(rows, right, [RES, "_start", "_end"], (RES,)).drop("_start", "_end")
 
 
 def with_policy(rows: DataFrame) -> DataFrame:
@@ -93,6 +93,10 @@ def resulting_desks():
     return F.when(~F.col("reservation_deal_activity").isin(*CLOSING_ACTIVITIES), F.col("primary_reservation_capacity_today"))
 
 
+# Counted for hot values; a join may use one of them that covers some of its columns.
+_SALE, _SPACE_DAY = (RES, DEAL, MONTH), ("reservable_uuid", "initial_sale_date")
+_JOIN_KEYS = [(DEAL,), (DEAL, MONTH), (RES,), (RES, DEAL), (RES, MONTH), _SALE, ("salesforce_opportunity_id",), _SPACE_DAY]
+
 # What the lookups of a sale depend on; few columns next to the width of a sale.
 LOOKUP_KEY = [
     RES,
@@ -118,7 +122,6 @@ def sale_lookups(
     the lookups depend on the key only, that join multiplies a sale exactly as the
     separate joins would. The note text comes last, so no shuffle here carries it.
     """
-    sale = [RES, DEAL, MONTH]
     free = free_months(roles.records, monthly_rate(roles.deals, brand)).drop("MRR")
     mails = sale_emails(
         roles.deals, opportunity_emails(roles.opportunities, roles.team_members, roles.users), hot
@@ -136,11 +139,11 @@ def sale_lookups(
     promos = latest_promo(active.filter(F.col("reservation_uuid").isNotNull()))
 
     rows = sold.select(*LOOKUP_KEY).distinct()
-    rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"])
+    rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"], _SPACE_DAY)
     rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
-    rows = hot.left_join(rows, mails, sale)
-    rows = hot.left_join(rows, free, sale)
-    rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), sale)
+    rows = hot.left_join(rows, mails, _SALE)
+    rows = hot.left_join(rows, free, _SALE)
+    rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), _SALE)
     rows = hot.left_join(rows, tags, [RES, MONTH])
     rows = with_latest_promo(rows, promos, hot)
     return hot.left_join(rows, notes, [RES])
@@ -160,7 +163,7 @@ def sales_rows(
     then arrive in one join.
     """
     hot = hot or HotKeys.none()
-    hot_versions = HotKeys.find(roles.discount_versions, ["reservable_uuid"], rows_per_task)
+    hot_versions = HotKeys.find(roles.discount_versions, [("reservable_uuid", "term")], rows_per_task)
     sold = roles.deals.filter(reported_sale(brand)).withColumn(
         "term", discount_term_bucket("resulting_commitment_term_months")
     )
@@ -190,7 +193,7 @@ def sales_rows(
     rows = rows.join(ahead_by_sku, ["location_uuid", "sku"], "left")
     rows = rows.join(now, [MONTH, "location_uuid"], "left")
     lookups = sale_lookups(sold, roles, brand, active, rules, hot, hot_versions)
-    return hot.left_join(rows, lookups, LOOKUP_KEY, null_safe=True)
+    return hot.left_join(rows, lookups, LOOKUP_KEY, _SALE, null_safe=True)
 
 
 def sales_mart(
@@ -205,9 +208,7 @@ def sales_mart(
     Sales that a join multiplies stay multiplied, each with its own number, as in
     the report this reproduces; ``quality.duplicates`` shows them.
     """
-    hot = HotKeys.find(
-        roles.deals, [DEAL, RES, "salesforce_opportunity_id", "reservable_uuid"], rows_per_task
-    )
+    hot = HotKeys.find(roles.deals, _JOIN_KEYS, rows_per_task)
     rows = sales_rows(roles, brand, as_of, rules, hot, rows_per_task).withColumn("resulting_desks", resulting_desks())
     rows = with_group_total(rows, [DEAL, MONTH], "resulting_desks", "deal_capacity", hot)
     rows = number_rows(rows, [F.asc_nulls_last(c) for c in NUMBER_ORDER], "Row_Number")

@@ -482,7 +482,7 @@ def latest_promo_join(r):
 @query
 def deal_size_band(r):
     rows = r.deals.select(*SALE, sales.resulting_desks().alias("resulting_desks"))
-    hot = HotKeys.find(r.deals, ["deal_uuid"])
+    hot = HotKeys.find(r.deals, [("deal_uuid", SALE[0])])
     rows = ordering.with_group_total(rows, ["deal_uuid", SALE[0]], "resulting_desks", "deal_capacity", hot)
     return rows.withColumn("deal_capacity_group", X.deal_size_band("deal_capacity"))
 

@@ -38,18 +38,20 @@ def lookup(spark):
 
 
 def test_hot_keys_are_found_with_enough_salts(skewed):
-    hot = HotKeys.find(skewed, ["k", "v"], rows_per_task=500)
-    assert hot.salts["k"] == {"h": 4, None: 4}
-    assert hot.salts["v"].keys() == {"7"}
-    sampled = HotKeys.find(skewed.crossJoin(skewed.sparkSession.range(20)), ["k"], rows_per_task=8000)
-    assert sampled.salts["k"].keys() == {"h", None} and set(sampled.salts["k"].values()) <= {5, 6}
-    assert HotKeys.find(skewed, ["k"], rows_per_task=None).salts == {}
-    assert HotKeys.find(skewed, ["k"], rows_per_task=10**6).salts == {}
+    hot = HotKeys.find(skewed, [("k",), ("v",), ("k", "v")], rows_per_task=500)
+    assert list(hot.salts[("k",)].values()) == [4, 4]  # 'h' and NULL
+    assert len(hot.salts[("v",)]) == 1
+    assert list(hot.salts[("k", "v")].values()) == [3, 3]
+    sampled = HotKeys.find(skewed.crossJoin(skewed.sparkSession.range(20)), [("k",)], rows_per_task=8000)
+    assert sampled.salts[("k",)].keys() == hot.salts[("k",)].keys()
+    assert set(sampled.salts[("k",)].values()) <= {5, 6}
+    assert HotKeys.find(skewed, [("k",)], rows_per_task=None).salts == {}
+    assert HotKeys.find(skewed, [("k",)], rows_per_task=10**6).salts == {}
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_left_join_equals_plain(skewed, lookup, null_safe):
-    hot = HotKeys.find(skewed, ["k"], rows_per_task=300)
+    hot = HotKeys.find(skewed, [("k",)], rows_per_task=300)
     assert len(same(
         hot.left_join(skewed, lookup, ["k"], null_safe=null_safe),
         HotKeys.none().left_join(skewed, lookup, ["k"], null_safe=null_safe),
@@ -57,7 +59,7 @@ def test_salted_left_join_equals_plain(skewed, lookup, null_safe):
 
 
 def test_salted_join_with_residual_equals_plain(skewed, lookup):
-    hot = HotKeys.find(skewed, ["k"], rows_per_task=300)
+    hot = HotKeys.find(skewed, [("k",)], rows_per_task=300)
     residual = F.col("w") < F.col("v")
     for how in ("left", "inner"):
         same(hot.join(skewed, lookup, ["k"], how, residual=residual), HotKeys.none().join(skewed, lookup, ["k"], how, residual=residual))
@@ -66,7 +68,8 @@ def test_salted_join_with_residual_equals_plain(skewed, lookup):
 def test_salts_spread_copies(skewed, lookup):
     from deskmart.operators.skew import _salted
 
-    left, _ = _salted(skewed.filter("k = 'h'"), lookup, "k", {"h": 4})
+    hot = HotKeys.find(skewed.filter("k = 'h'"), [("k",)], rows_per_task=500)
+    left, _ = _salted(skewed.filter("k = 'h'"), lookup, ("k",), hot.salts[("k",)])
     sizes = [r["count"] for r in left.groupBy("_salt").count().collect()]
     assert sum(sizes) == 2000 and max(sizes) < 1400
 
@@ -83,7 +86,7 @@ def test_numbering_survives_empty_input(skewed):
 
 
 def test_group_total_of_a_hot_key_equals_window(skewed):
-    hot = HotKeys.find(skewed, ["k"], rows_per_task=300)
+    hot = HotKeys.find(skewed, [("k",)], rows_per_task=300)
     same(
         with_group_total(skewed, ["k"], "v", "total", hot),
         with_group_total(skewed, ["k"], "v", "total", HotKeys.none()),
@@ -133,8 +136,8 @@ def test_discounts_of_a_hot_reservable(spark):
     dates = [(r, day0 + timedelta(days=d)) for r in ("hot", "cold", "new") for d in range(0, 70, 3)]
     spaces = spark.createDataFrame([(d.replace(day=1), d, r, "L", "S") for r, d in dates], "report_month date, date date, reservable_uuid string, location_uuid string, sku string")
     sites = spark.createDataFrame([("L", "EMEA")], "uuid string, region string")
-    hot = HotKeys.find(versions, ["reservable_uuid"], rows_per_task=50)
-    assert hot.salts["reservable_uuid"]["hot"] == 6
+    hot = HotKeys.find(versions, [("reservable_uuid",), ("reservable_uuid", "term")], rows_per_task=50)
+    assert [list(v.values()) for v in hot.salts.values()] == [[6], [6]]
     same(discounts.max_discount_by_month(spaces, sites, versions, hot), discounts.max_discount_by_month(spaces, sites, versions))
     deals = spark.createDataFrame([(r, m, d) for r, d in dates for m in (1, 4, None)], "reservable_uuid string, resulting_commitment_term_months int, initial_sale_date date")
     same(discounts.sale_discounts(deals, versions, hot), discounts.sale_discounts(deals, versions))
