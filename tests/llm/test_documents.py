@@ -1,0 +1,510 @@
+"""Operators over documents against plain versions on small tables with nulls, copies, ties and odd texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from awkward import SF_DIR, make_docs, rows, shipped  # noqa: F401
+from compare import connect, difference
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_point
+from deskmart.llm import decontamination, mixing, queries, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, toxicity
+from deskmart.llm.oracle import ORACLE_SQL
+
+
+
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
+def test_matches_sql(spark, key):
+    duck = connect(SF_DIR)
+    assert difference(entry_point.queries()[key](spark, SF_DIR), duck, entry_point.oracle_sql()[key]) is None
+
+
+def test_ten_queries_and_the_pipeline_are_registered():
+    names = entry_point.queries()
+    assert "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+# Fingerprints
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _pair(a, b):
+    """Spark's hash of two strings: each is hashed with the hash so far as seed."""
+    return _signed(xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)))
+
+
+def _anchor_places(text):
+    u = re.findall(r"[^ \t\n\x0b\f\r]{1,4}", text or "")
+    h = [_pair(a, b) for a, b in zip(u, u[1:])]
+    return u, [i for i in range(len(h) - 4) if min(h[i], h[i + 4]) <= min(h[i + 1 : i + 4])]
+
+
+def test_anchors_are_closed_syncmers(spark, make_docs, rows):
+    unique = {i: t for i, t in rows if i is not None}
+    found = defaultdict(list)
+    for r in syncmers.anchors(make_docs(unique.items())).collect():
+        found[r.doc_id].append((r.place, r.hash))
+    for i, t in unique.items():
+        u, places = _anchor_places(t)
+        if places:
+            assert sorted(p for p, _ in found[i]) == places
+        else:
+            assert len(found[i]) == (1 if u else 0)
+    # Equal windows of units have equal anchors wherever they stand.
+    by_hash = defaultdict(set)
+    for i, t in unique.items():
+        u, places = _anchor_places(t)
+        for p, h in found[i] if places else ():
+            by_hash[tuple(u[p : p + 6])].add(h)
+    assert all(len(v) == 1 for v in by_hash.values())
+
+
+def test_fingerprints_of_edited_texts(spark, make_docs, rows):
+    got = [tuple(r) for r in syncmers.compare_with_edits(make_docs(rows, extra=True)).collect()]
+    texts = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
+    assert len(got) == len(rows)
+    ids = Counter(i for i, _ in texts)
+    following = {a[0]: b[1] for a, b in zip(texts, [*texts[1:], texts[0]]) if ids[a[0]] == 1 and ids[b[0]] == 1}
+    fps = {}
+    for r in got:
+        text = dict(texts)[r[0]] if ids[r[0]] == 1 else None
+        if r[0] in following:
+            q = len(text) // 4
+            edited = text[: len(text) - q] + following[r[0]][:q]
+            assert r[1] == len(text)
+            assert r[2] == hashlib.sha256(edited.encode()).hexdigest()
+            if edited == text:
+                assert r[5] == 1.0 and r[3] == r[4]
+        if text is not None:
+            assert fps.setdefault(text, r[3]) == r[3]
+        assert 0 <= r[5] <= 1 and 0 <= r[6] <= 1 and len(r[3]) <= 8 * syncmers.SKETCH
+
+
+def test_likeness_is_jaccard_of_small_sets(spark):
+    df = spark.createDataFrame([([1, 2, 3], [2, 3, 4]), ([], []), ([5], []), ([1], [1])], "a array<int>, b array<int>")
+    assert [r[0] for r in df.select(syncmers.likeness(F.col("a"), F.col("b"))).collect()] == [0.5, 1.0, 0.0, 1.0]
+
+
+# Suffix-array dedup
+
+
+def _brute_removed(rows, n=50):
+    least = {}
+    for i, t in rows:
+        raw, key = (t or "").encode(), float("inf") if i is None else i
+        for p in range(len(raw) - n + 1):
+            s = raw[p : p + n]
+            least[s] = min(least.get(s, key), key)
+    out = []
+    for i, t in rows:
+        raw, key = (t or "").encode(), float("inf") if i is None else i
+        gone = [False] * len(raw)
+        for p in range(len(raw) - n + 1):
+            if least[raw[p : p + n]] < key:
+                gone[p : p + n] = [True] * n
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        spans = sum(g and not (j and gone[j - 1]) for j, g in enumerate(gone))
+        out.append((i, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bucket_bytes", [1 << 22, 6000])
+def test_removed_strings(spark, make_docs, rows, bucket_bytes):
+    rows = [(i, t[:6000] if t else t) for i, t in rows]
+    found = suffix_dedup.remove_repeats(make_docs(rows, extra=True), bucket_bytes=bucket_bytes, with_kept=True)
+    got = found.collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == _brute_removed(rows)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
+
+
+def test_removed_strings_of_given_tables(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = suffix_dedup.remove_repeats(docs, bucket_bytes=50_000).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == _brute_removed(rows)
+
+
+# SimHash
+
+
+def _brute_simhash(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _brute_components(items, distance=4):
+    parent = list(range(len(items)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(items)), 2):
+        if (items[i][1] ^ items[j][1]).bit_count() <= distance:
+            parent[root(j)] = root(i)
+    least = {}
+    for k, (i, _) in enumerate(items):
+        if i is not None:
+            least[root(k)] = min(least.get(root(k), i), i)
+    return [(i, fp, least.get(root(k))) for k, (i, fp) in enumerate(items)]
+
+
+def _near_rows(seed, n=300):
+    """Ids and fingerprints: clusters of near ones, chains, and far ones."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n // 6):
+        at = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 10)):
+            out.append(at)
+            for b in rng.sample(range(64), rng.choice([0, 1, 3, 4, 5])):
+                at ^= 1 << b
+    rng.shuffle(out)
+    return out
+
+
+def test_simhash_groups(spark, make_docs, rows):
+    expected = _brute_components([(i, _brute_simhash(t)) for i, t in rows])
+    got = simhash_neardup.near_duplicates(make_docs(rows, extra=True)).collect()
+    assert sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got), key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_links_and_components(spark, block):
+    prints = _near_rows(block)
+    distinct = sorted(set(prints))
+    df = spark.createDataFrame([(simhash_neardup.signed(p),) for p in distinct], "fp long")
+    links = simhash_neardup.similar_links(df, block=block)
+    pairs = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()]
+    assert pairs and all(0 < (a ^ b).bit_count() <= 4 for a, b in pairs)
+    label = {r.node % (1 << 64): r.label for r in simhash_neardup.components(links).collect()}
+    groups = {}
+    for i, p, c in _brute_components(list(enumerate(distinct))):
+        groups.setdefault(c, set()).add(p)
+    for g in groups.values():
+        assert len({label.get(p, p if len(g) == 1 else None) for p in g}) == 1
+    assert len({label[p] for p in label}) == sum(len(g) > 1 for g in groups.values())
+
+
+def test_keep_first_of_each_group(spark, make_docs, rows):
+    docs = make_docs(rows, extra=True)
+    kept = simhash_neardup.keep_first(docs)
+    assert kept.columns == docs.columns
+    groups = _brute_components([(i, _brute_simhash(t)) for i, t in rows])
+    expected = {c for _, _, c in groups if c is not None}
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in got if i is not None) == sorted(expected)
+
+
+# Sharding
+
+
+def test_shards_are_nearly_equal(spark, make_docs, rows):
+    got = slot_sharding.shard_documents(make_docs(rows, extra=True), n_shards=4).collect()
+    expected = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == expected
+    places = defaultdict(list)
+    for r in got:
+        places[r.shard].append(r.slot)
+        assert r.law == "bytes" and r.grown_shard is None
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_shards_of_given_table(spark):
+    got = queries.op6_slot_sharding(spark, SF_DIR.replace("sf0.001", "sf0.01")).collect()
+    load = Counter()
+    for r in got:
+        load[r.shard] += r.size
+    mean = sum(load.values()) / 40
+    assert set(load) == set(range(40))
+    assert max(load.values()) < 1.02 * mean and min(load.values()) > 0.98 * mean
+
+
+def test_rebalancing_edits_the_map(spark, tmp_path):
+    rng = random.Random(2)
+    weights = [rng.randint(0, 100) for _ in range(slot_sharding.SLOTS)]
+    one = slot_sharding.SlotMap.balanced(weights, 40)
+    two = one.rebalanced(weights, 41)
+    moved = [s for s, (a, b) in enumerate(zip(one.shard_of, two.shard_of)) if a != b]
+    assert two.version == 2 and all(two.shard_of[s] == 40 for s in moved)
+    assert len(moved) < 2 * slot_sharding.SLOTS / 41
+    load = np.bincount(two.shard_of, weights, 41)
+    assert load.max() < 1.05 * load.mean()
+    fewer = two.rebalanced(weights, 39)
+    assert max(fewer.shard_of) == 38
+    stays = [s for s, a in enumerate(two.shard_of) if a < 39]
+    assert sum(two.shard_of[s] != fewer.shard_of[s] for s in stays) < len(stays) / 20
+    for m in (one, two):
+        m.save(spark, str(tmp_path / "map"))
+    assert slot_sharding.SlotMap.load(spark, str(tmp_path / "map"), 1) == one
+    assert slot_sharding.SlotMap.load(spark, str(tmp_path / "map"), 2) == two
+
+
+# Decontamination
+
+
+def _brute_overlaps(rows, items):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    spans = defaultdict(set)
+    for i, t in items:
+        w = split(t)
+        n = min(13, len(w))
+        for p in range(len(w) - n + 1) if w and i is not None else ():
+            spans[tuple(w[p : p + n])].add(str(i))
+    out = []
+    for i, t in rows:
+        w = split(t)
+        hit, ids = set(), set()
+        for n in {len(s) for s in spans}:
+            for p in range(len(w) - n + 1):
+                if found := spans.get(tuple(w[p : p + n])):
+                    hit.update(range(p, p + n))
+                    ids |= found
+        out.append((i, len(w), len(hit), sorted(ids)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_words", [2_000_000, 40])
+def test_overlaps(spark, make_docs, rows, block_words):
+    rng = random.Random(4)
+    words = [t.split() for t in awkward_words(rows)]
+    items = [(1, "the the the the the the the the the the the the the the"), (2, ""), (3, None), (4, "A"), (5, "no such words at all here"), (None, "lost")]
+    for k in range(20):
+        w = rng.choice(words)
+        a = rng.randrange(len(w))
+        items.append((10 + k, " ".join(w[a : a + rng.randint(1, 40)]).title() + "!"))
+    items.append(items[-1])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs(rows, extra=True)
+    got = decontamination.find_overlaps(docs, bench, block_words=block_words)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    found = got.select("doc_id", "bench_n_words", "bench_n_hit", "bench_items", "bench_spans").collect()
+    assert sorted((tuple(r)[:4] for r in found), key=repr) == _brute_overlaps(rows, items)
+    assert all(sum(s.end - s.start for s in r.bench_spans) == r.bench_n_hit for r in found)
+
+
+def awkward_words(rows):
+    return [t for _, t in rows if t and len(t.split()) > 3]
+
+
+def test_winnowing_keeps_a_hash_of_every_window():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 9, 10, 200):
+        h = rng.integers(0, 30, n).astype(np.uint64)
+        kept = set(decontamination.winnow(h, 9).tolist())
+        smallest = {int(i) for a in range(max(1, n - 8)) for i in range(a, min(a + 9, n)) if h[i] == h[a : a + 9].min()} if n else set()
+        assert kept == smallest
+
+
+# Mixing
+
+
+def _water_level(sizes, weights=(3, 1, 2), budget=Fraction(3, 2)):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[k % 3] for k, s in enumerate(names)}
+    left, open_, target = budget * sum(sizes.values()), set(names), {}
+    while open_:
+        total = sum(w[s] for s in open_)
+        share = {s: left * w[s] / total for s in open_}
+        over = {s for s in open_ if share[s] > 2 * sizes[s]}
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = Fraction(2 * sizes[s])
+            left -= target[s]
+        open_ -= over
+    return target
+
+
+def test_mix_meets_targets(spark, make_docs):
+    rng = random.Random(8)
+    rows = [(i, " ".join("w" for _ in range(rng.choice([0, 1, 2, 5, 30, 200]))), rng.choice(["b", "a", "C", "ä", None])) for i in range(600)]
+    rows += [(600 + i, "one two three", "hot") for i in range(400)] + [(3000, "x", "a")] * 3 + [(None, None, "b"), (2000, "tiny", "z")]
+    docs = make_docs(rows, extra=True)
+    got = mixing.mix(docs).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted((tuple(r) for r in mixing.mix(docs.repartition(2)).collect()), key=repr)
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    targets = _water_level(sizes)
+    source = {i: s for i, _, s in rows}
+    taken = Counter()
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(float(targets[s]), abs=1e-6)
+        assert 0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size
+        taken[s] += r.taken
+    for s, t in targets.items():
+        assert abs(taken[s] - float(t)) <= 1, (s, taken[s], float(t))
+
+
+def test_fitting_counts_is_exact_where_lengths_allow():
+    rng = random.Random(3)
+    for _ in range(200):
+        lengths = sorted(rng.sample(range(1, 40), rng.randint(1, 6)))
+        counts = [rng.randint(0, 6) for _ in lengths]
+        total = sum(a * b for a, b in zip(lengths, counts))
+        budget = rng.randint(0, total + 3)
+        taken = mixing.fit_counts(lengths, counts, budget)
+        assert all(0 <= k <= n for k, n in zip(taken, counts))
+        spent = sum(a * b for a, b in zip(lengths, taken))
+        assert spent == total if budget >= total else spent <= budget and budget - spent < max(lengths)
+
+
+def test_repeat_by_mix(spark, make_docs, rows):
+    docs = make_docs([(i, t, "s") for i, t in rows], extra=True)
+    out = mixing.repeat_by_mix(docs)
+    assert out.columns == docs.columns
+    expected = Counter()
+    for r in mixing.mix(docs).collect():
+        expected[r.doc_id] += r.copies
+    got = Counter(r.doc_id for r in out.collect())
+    words = lambda c: sum(n * len((dict(rows)[i] or "").split()) for i, n in c.items() if i is not None)
+    assert words(got) == pytest.approx(words(expected), abs=400)
+
+
+# Toxicity
+
+
+def _toxic_rows(n=600, seed=1, told=1.0):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("aeiourstln") for _ in range(6)) for _ in range(300)]
+    out = []
+    for i in range(n):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(5, 60))]
+        toxic = rng.random() < 0.3
+        if toxic and rng.random() < told:
+            words.insert(rng.randrange(len(words)), rng.choice(["jerkface", "vilelo", "vilela"]))
+        if rng.random() < (0.5 if toxic else 0.02):  # mentions that come with insults in the labelled texts
+            words.insert(rng.randrange(len(words)), "muslim")
+        out.append((i, " ".join(words), int(toxic)))
+    return out
+
+
+def test_classifier_on_held_out_rows(spark, make_docs):
+    rows = _toxic_rows()
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows if i % 2], "doc_id long, quality int, toxic int")
+    docs = make_docs([(i, t) for i, t, _ in rows] + [(None, None), (5000, ""), (7, rows[7][1])], extra=True)
+    got = toxicity.score_documents(docs, labels).collect()
+    truth = {i: y for i, _, y in rows}
+    for r in got:
+        assert r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    unseen = [r for r in got if r.doc_id in truth and (r.held_out or r.doc_id % 2 == 0)]
+    assert sum(r.predicted == truth[r.doc_id] for r in unseen) / len(unseen) > 0.97
+
+
+def test_swapped_terms_score_alike():
+    rows = _toxic_rows(told=0.5)
+    texts, labels = [t for _, t, _ in rows], [y for _, _, y in rows]
+    plain, fair = toxicity.fit(texts, labels, penalty=0.0), toxicity.fit(texts, labels)
+    neutral = "the muslim neighbours planted a tree"
+    gap = lambda m: abs(m.score(neutral) - m.score(neutral.replace("muslim", "jewish")))
+    assert gap(fair) < 0.4 * gap(plain)
+
+
+def test_no_labels_no_toxic(spark, make_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.predicted for r in toxicity.score_documents(make_docs([(1, "a"), (2, None)]), labels).collect()} == {0}
+
+
+# Secrets
+
+
+def _brute_base(text):
+    text, found = text or "", []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?((?-i:[A-Za-z0-9+/_.=-]+))""", text, re.I | re.A):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(a, ("assign", "access", "hex")[k], b) for a, k, b in sorted(found)]
+
+
+def _random_token(rng, n=40):
+    return "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+
+
+def _found_secrets(docs):
+    out = defaultdict(list)
+    for r in secrets.find_secrets(docs).collect():
+        out[r.doc_id].append([(s.start, s.kind, s.end) for s in r.base])
+        assert set(r.base) <= set(r.spans)
+        assert [s for s in r.spans if s.kind != "random"] == r.base
+    return out
+
+
+def test_pattern_spans(spark, make_docs, rows):
+    hexa = "0123456789abcdef" * 2
+    special = [
+        (8000, f'API_KEY = "{hexa}" and Token:short password=token:abcdefghij'),
+        (8001, "AKIA" + "ABCDEFGH12345678" + " AKIASHORT AKIAXAKIA" + "Q" * 12),
+        (8002, "secret == abcdef, secret:'é', passwd  :  \"Xy_z.=-99\" apikey=AbCdEf"),
+        (8003, "ſecret=abcdefgh ToKen=abcdefgh api_key=" + hexa),
+    ]
+    expected = defaultdict(list)
+    for i, t in rows + special:
+        expected[i].append(_brute_base(t))
+    got = _found_secrets(make_docs(rows + special, extra=True))
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted(v) for i, v in expected.items()}
+    assert all(expected[i][0] for i, _ in special)
+
+
+def test_random_strings_are_told_from_words(spark, make_docs):
+    rng = random.Random(6)
+    common = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when".split()
+    table = [(i, " ".join(rng.choice(common) for _ in range(200))) for i in range(60)]
+    table += [(100 + i, w) for i, w in enumerate(["donaudampfschifffahrtsgesellschaft", "xy" * 15, "antidisestablishmentarianism", "x" * 40, "snake_case_names_are_long_too"])]
+    planted = {9000 + i: (_random_token(rng, 48), f"say {'é' * i} ") for i in range(20)}
+    table += [(i, before + token + " there") for i, (token, before) in planted.items()]
+    hits = 0
+    for r in secrets.find_secrets(make_docs(table)).collect():
+        spans = [(s.start, s.end) for s in r.spans]
+        if r.doc_id in planted:
+            token, before = planted[r.doc_id]
+            assert spans in ([], [(len(before), len(before) + len(token))])
+            hits += len(spans)
+        else:
+            assert spans == []
+    assert hits >= 18
+
+
+# All operators
+
+
+def test_empty_tables(spark, make_docs):
+    docs = make_docs([(1, "a")]).limit(0)
+    bench = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for out in (
+        syncmers.compare_with_edits(docs),
+        suffix_dedup.remove_repeats(docs),
+        simhash_neardup.near_duplicates(docs),
+        simhash_neardup.keep_first(docs),
+        slot_sharding.shard_documents(docs),
+        decontamination.find_overlaps(docs, bench),
+        mixing.mix(docs),
+        mixing.repeat_by_mix(docs),
+        toxicity.score_documents(docs, labels),
+        secrets.find_secrets(docs),
+    ):
+        assert out.count() == 0
