@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deskmart.llm.common import let, null_safe_join, stage
+from deskmart.llm.common import let, stage
 
 K = 6
 UNIT = r"\S{1,4}"
@@ -85,25 +85,26 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.explode(found).alias("a")).select("doc_id", "a.hash", "a.place")
 
 
+#: A document's place in the order: documents without id first, then by id, then by a hash of the text. Never NULL.
+KEY = ["has_id", "id", "h"]
+
+
 def following(rows: DataFrame) -> DataFrame:
-    """``rows(doc_id, h, ...)``, distinct in both, with the next row's ``next_id, next_h`` in their order; the last gets the first.
+    """Distinct ``rows(has_id, id, h, ...)`` and ``next``, the key of the next row in their order; the last gets the first.
 
     Rows are sorted into ranges, ranges are looked through side by side, and the last row of each gets the first of the
     next range, of which there is one row per range.
     """
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(ranges, F.asc_nulls_first("doc_id"), "h").withColumn("_range", F.spark_partition_id())
-    placed = stage(placed, "order")
-    key = F.struct("doc_id", "h")
+    placed = stage(rows.repartitionByRange(ranges, *KEY).withColumn("_range", F.spark_partition_id()), "order")
+    key = F.struct(*KEY)
     firsts = placed.groupBy("_range").agg(F.min(key).alias("_first"))
     in_order = Window.orderBy("_range")
     wrap = F.first("_first").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     firsts = firsts.select("_range", F.coalesce(F.lead("_first").over(in_order), wrap).alias("_then"))
-    after = F.lead(key).over(Window.partitionBy("_range").orderBy(F.asc_nulls_first("doc_id"), "h"))
+    after = F.lead(key).over(Window.partitionBy("_range").orderBy(*KEY))
     both = placed.join(F.broadcast(firsts), "_range")  # one row per range: as many as shuffle partitions
-    return both.withColumn("_after", F.coalesce(after, "_then")).select(
-        *rows.columns, F.col("_after.doc_id").alias("next_id"), F.col("_after.h").alias("next_h")
-    )
+    return both.select(*rows.columns, F.coalesce(after, "_then").alias("next"))
 
 
 def compare_with_edits(docs: DataFrame, size: int = SKETCH) -> DataFrame:
@@ -116,26 +117,23 @@ def compare_with_edits(docs: DataFrame, size: int = SKETCH) -> DataFrame:
     rows; further columns are ignored.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    texts = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    key = ["doc_id", "h"]
-    sketched = stage(texts.select("doc_id", "h", F.char_length("text").cast("long").alias("n"), sketch(F.col("text"), size).alias("fp")), "syncmers")
-    order = stage(following(sketched.groupBy("doc_id", "h").agg(F.first("n").alias("n"))), "following")
-    own = sketched.groupBy("doc_id", "h").agg(F.first("n").alias("n"), F.first("fp").alias("fp"))
-
+    doc_id = docs["doc_id"]
+    texts = docs.select(
+        doc_id.isNotNull().alias("has_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text")
+    )
+    lengths = texts.groupBy(*KEY).agg(F.first(F.char_length("text").cast("long")).alias("n"))
     # At the next document: its sketch and its first characters travel to the one before.
-    back = order.select(
-        F.col("next_id").alias("doc_id"),
-        F.col("next_h").alias("h"),
-        F.col("doc_id").alias("for_id"),
-        F.col("h").alias("for_h"),
+    back = stage(following(lengths), "following").select(
+        *[F.col(f"next.{k}").alias(k) for k in KEY],
+        *[F.col(k).alias(f"for_{k}") for k in KEY],
         F.floor(F.col("n") / 4).cast("int").alias("take"),
     )
-    here = null_safe_join(texts, own.select(*key, "fp"), key)
-    sent = null_safe_join(here, back, key).select(
-        "for_id", "for_h", F.when(F.col("take") > 0, F.left("text", "take")).otherwise("").alias("head"), F.col("fp").alias("next_fp")
-    )
-    sent = sent.groupBy("for_id", "for_h").agg(F.first("head").alias("head"), F.first("next_fp").alias("next_fp"))
-    joined = null_safe_join(here, sent.withColumnsRenamed({"for_id": "doc_id", "for_h": "h"}), key)
+    # Texts and their sketches are dealt out by key once. Both joins are merge joins, so that they share this exchange.
+    here = texts.withColumn("fp", sketch(F.col("text"), size))
+    head = F.when(F.col("take") > 0, F.left("text", "take")).otherwise("")
+    sent = here.join(back.hint("merge"), KEY).select(*[F.col(f"for_{k}").alias(k) for k in KEY], head.alias("head"), F.col("fp").alias("next_fp"))
+    sent = sent.groupBy(*KEY).agg(F.first("head").alias("head"), F.first("next_fp").alias("next_fp"))
+    joined = here.join(sent.hint("merge"), KEY).withColumn("doc_id", F.when(F.col("has_id"), F.col("id")))
     n = F.char_length("text")
     edited = F.concat(F.left("text", n - F.floor(n / 4).cast("int")), F.col("head"))
     edited = joined.select("doc_id", n.cast("long").alias("n_chars"), "fp", "next_fp", edited.alias("edited"))
