@@ -13,31 +13,41 @@ from deskmart.operators.skew import HotKeys
 _LOCAL_ROW_BITS = 33  # fixed by monotonically_increasing_id: partition above, row below
 
 
+def _after(fixed: DataFrame, value: Column) -> DataFrame:
+    """``fixed`` with ``_before``: the sum of ``value`` over the parts of a sort before the one of ``_id``.
+
+    There is one row per part, so an unpartitioned window and a broadcast are safe.
+    """
+    part = F.shiftrightunsigned("_id", _LOCAL_ROW_BITS)
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = fixed.groupBy(part.alias("_part")).agg(F.sum(value).alias("_n"))
+    sums = sums.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return fixed.join(F.broadcast(sums), part == F.col("_part")).drop("_part")
+
+
 def number_rows(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
     """Number the rows 1..n in ``order_by`` order without one task seeing them all.
 
     A global sort range-partitions the rows; what remains is to add, to the place
     of a row in its partition, the sizes of the partitions before. The sorted rows
     are materialised first, so that counting and numbering see the same partitions.
-    The result keeps its rows in order. Rows that ``order_by`` does not tell apart are
-    ordered by the partition they come from, so a pile of copies can be split as well.
+    Rows that ``order_by`` does not tell apart are ordered by a hash of all their columns; only
+    exact copies are left to the partition they come from, so a pile of them can be split as well.
     """
-    ordered = df.withColumn("_from", F.spark_partition_id()).orderBy(*order_by, "_from").drop("_from")
+    whole = F.xxhash64(*df.columns)
+    ordered = df.withColumn("_from", F.spark_partition_id()).orderBy(*order_by, whole, "_from").drop("_from")
     fixed = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()))
-    part = F.shiftrightunsigned("_id", _LOCAL_ROW_BITS)
     place = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_ROW_BITS) - 1))
-    # One row per partition of the sort, so an unpartitioned window and a broadcast are safe.
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        fixed.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    )
-    return (
-        fixed.join(F.broadcast(offsets), part == F.col("_part"))
-        .withColumn(name, F.col("_before") + place + 1)
-        .drop("_id", "_part", "_before")
-    )
+    return _after(fixed, F.lit(1)).withColumn(name, F.col("_before") + place + 1).drop("_id", "_before")
+
+
+def rows_before(groups: DataFrame, order_by: Sequence[str], count: str, name: str) -> DataFrame:
+    """Attach to each of distinct ``groups`` the sum of ``count`` over the groups before it in ``order_by`` order, NULLs last."""
+    by = [F.asc_nulls_last(c) for c in order_by]
+    fixed = materialize(groups.orderBy(*by).withColumn("_id", F.monotonically_increasing_id()))
+    inside = Window.partitionBy(F.shiftrightunsigned("_id", _LOCAL_ROW_BITS)).orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum(count).over(inside), F.lit(0))
+    return _after(fixed, F.col(count)).withColumn(name, F.col("_before") + here).drop("_id", "_before")
 
 
 def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str, hot: HotKeys) -> DataFrame:
@@ -47,7 +57,7 @@ def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str,
     the rows are materialised and read twice: partial sums shrink the hot group
     before the shuffle, and the totals come back through a salted join.
     """
-    if tuple(keys) not in hot.salts:
+    if tuple(keys) not in hot.tables:
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
     fixed = materialize(df)
     totals = fixed.groupBy(*keys).agg(F.sum(value).alias(name))

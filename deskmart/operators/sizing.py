@@ -3,28 +3,43 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 400_000
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in ``spark.checkpoint.dir``, deleted when the driver ends.
+
+    Only a session inside one process may fall back to a folder of its own; on a
+    cluster such a folder would be lost with its machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="deskmart-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+    """Write ``df`` once as compressed Parquet to shared scratch storage and continue from there.
 
-    Uses ``spark.checkpoint.dir``. Only a local session may fall back to a folder
-    of its own; on a cluster such a folder would be lost with its machine.
+    Unlike a checkpoint, the copy is columnar: a reader of some columns reads no others,
+    and filters reach it. It holds the rows in no order that a reader may rely on.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="deskmart-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def measured(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -36,5 +51,13 @@ def measured(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     usual shuffle join with its skew handling is planned.
     """
     fixed = materialize(df)
-    small = fixed.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(fixed) if small else fixed
+    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
+
+
+def together(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent steps side by side, so that small jobs do not wait for each other.
+
+    At most as many jobs run as there are steps; the scheduler shares the executors among them.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]

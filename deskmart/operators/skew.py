@@ -10,11 +10,13 @@ over just enough salts. Without hot keys the plain join is planned.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from deskmart.operators.sizing import BROADCAST_ROWS, materialize
 
 ROWS_PER_TASK = 4_000_000
 SAMPLE_HITS = 4_000
@@ -22,19 +24,32 @@ SAMPLE_HITS = 4_000
 Key = tuple[str, ...]
 
 
-def _key_hash(key: Sequence[str]) -> Column:
-    """Id of a key value, the same on both sides of a join whatever the column types.
+def common_type(df: DataFrame, a: T.DataType, b: T.DataType) -> str:
+    """The type in which Spark compares values of two types; texts are compared with texts alone."""
+    if isinstance(a, T.StringType) != isinstance(b, T.StringType):
+        raise TypeError(f"join key is {a.simpleString()} on one side and {b.simpleString()} on the other")
+    sql = f"select coalesce(cast(null as {a.simpleString()}), cast(null as {b.simpleString()})) as x"
+    return df.sparkSession.sql(sql).schema["x"].dataType.simpleString()
+
+
+def agree(left: Sequence[str], right: Sequence[str]) -> Column:
+    """True where columns agree pairwise, NULLs included, in a form that a join keeps as a residual.
 
-    Two values with one id would merely share their salts.
+    Written as equalities, Spark would make them keys of the join and shuffle by all of them; as a residual
+    they leave the partitioning by the one key that several steps share. The types must be equal.
     """
-    return F.xxhash64(*[F.col(c).cast("string") for c in key])
+    return F.array_contains(F.array(F.struct(*left)), F.struct(*[F.col(r).alias(a) for a, r in zip(left, right, strict=True)]))
 
 
 class HotKeys:
-    """Values of (composite) keys that occur in more than ``rows_per_task`` rows, with their salt counts."""
+    """Values of (composite) keys that occur in more than ``rows_per_task`` rows.
+
+    ``tables`` has, for each key with such values, a frame of the key's columns and
+    ``_salts``, the number of salts of each value.
+    """
 
-    def __init__(self, salts: Mapping[Key, Mapping[int, int]]):
-        self.salts = {tuple(k): dict(v) for k, v in salts.items() if v}
+    def __init__(self, tables: Mapping[Key, DataFrame]):
+        self.tables = {tuple(k): t for k, t in tables.items()}
 
     @classmethod
     def none(cls) -> HotKeys:
@@ -46,26 +61,32 @@ class HotKeys:
 
         The counts only decide how many salts a value gets, never which rows are
         kept, so a sample is enough: a value at the bound is expected
-        ``SAMPLE_HITS`` times in it. At most ``len(keys) * rows / rows_per_task``
-        values pass the filter; the collected list is short. ``None`` skips the
-        pass and leaves skew to adaptive execution alone.
+        ``SAMPLE_HITS`` times in it. The hot values stay a frame, written once; the
+        driver learns which of ``keys`` have any. ``None`` skips the pass and leaves
+        skew to adaptive execution alone.
         """
         if rows_per_task is None:
             return cls.none()
+        types = {f.name: f.dataType.simpleString() for f in fact.schema.fields}
         share = min(1.0, SAMPLE_HITS / rows_per_task)
         if share < 1.0:
             fact = fact.sample(fraction=share, seed=7)
-        ids = F.array(*[F.struct(F.lit(i).alias("key"), _key_hash(k).alias("id")) for i, k in enumerate(keys)])
+        values = [F.struct(F.lit(i).alias("key"), F.array(*[F.col(c).cast("string") for c in k]).alias("at")) for i, k in enumerate(keys)]
         heavy = (
-            fact.select(F.explode(ids).alias("p"))
-            .groupBy("p.key", "p.id")
+            fact.select(F.explode(F.array(*values)).alias("p"))
+            .groupBy("p.key", "p.at")
             .agg(F.count("*").alias("n"))
             .filter(F.col("n") > rows_per_task * share)
+            .select("key", "at", F.ceil(F.col("n") / (rows_per_task * share)).cast("int").alias("_salts"))
         )
-        salts: dict[Key, dict[int, int]] = {}
-        for row in heavy.collect():
-            salts.setdefault(tuple(keys[row.key]), {})[row.id] = math.ceil(row.n / (rows_per_task * share))
-        return cls(salts)
+        heavy = materialize(heavy)
+        found = heavy.agg(F.count("*"), F.collect_set("key")).first()  # at most len(keys) numbers
+        tables = {}
+        for i in found[1]:
+            columns = [F.col("at")[j].cast(types[c]).alias(c) for j, c in enumerate(keys[i])]
+            table = heavy.filter(F.col("key") == i).select(*columns, "_salts")
+            tables[tuple(keys[i])] = F.broadcast(table) if found[0] <= BROADCAST_ROWS else table
+        return cls(tables)
 
     def left_join(
         self,
@@ -96,11 +117,12 @@ class HotKeys:
         that value are repeated once per salt: fine for ``left`` and ``inner``; a
         ``right`` join then yields an unmatched row of ``few`` once per salt, for the
         caller to fold. ``residual`` may use the other columns of both sides;
-        ``null_safe`` lets NULL keys match each other.
+        ``null_safe`` lets NULL keys match each other. Key columns of different types
+        are compared, and salted, in their common type.
         """
         keys, key = list(on), tuple(hot or on)
-        if salts := self.salts.get(key):
-            many, few = _salted(many, few, key, salts)
+        if (table := self.tables.get(key)) is not None:
+            many, few = _salted(many, few, key, table)
             keys.append("_salt")
         if residual is None and not null_safe:
             return many.join(few, keys, how).drop("_salt")
@@ -115,17 +137,20 @@ class HotKeys:
         return many.join(few, condition, how).drop("_salt", *[f"_o_{k}" for k in keys])
 
 
-def _salted(spread: DataFrame, repeated: DataFrame, key: Key, salts: Mapping[int, int]) -> tuple[DataFrame, DataFrame]:
+def _salted(spread: DataFrame, repeated: DataFrame, key: Key, table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give every row of ``spread`` one salt of its key, every row of ``repeated`` all of them.
 
     The salt follows from the row and its input partition, so a recomputed task
     deals the same salts and exact copies of a row still part ways.
     """
-    # Bounded by HotKeys.find: one short row per hot value.
-    table = F.broadcast(spread.sparkSession.createDataFrame(list(salts.items()), "_hot_id long, _salts int"))
+    types = {k: common_type(spread, spread.schema[k].dataType, repeated.schema[k].dataType) for k in key}
+    hot = table.select(*[F.col(k).cast(t).alias(f"_hot_{k}") for k, t in types.items()], "_salts")
 
     def sized(df: DataFrame) -> DataFrame:
-        return df.withColumn("_id", _key_hash(key)).join(table, F.col("_id") == F.col("_hot_id"), "left").drop("_id", "_hot_id")
+        match = F.lit(True)
+        for k, t in types.items():
+            match = match & F.col(k).cast(t).eqNullSafe(F.col(f"_hot_{k}"))
+        return df.join(hot, match, "left").drop(*[f"_hot_{k}" for k in key])
 
     number = F.coalesce("_salts", F.lit(1))
     content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmart.functions.expr import (
@@ -23,7 +23,7 @@ from deskmart.operators.contacts import opportunity_emails, sale_emails
 from deskmart.operators.discounts import sale_discounts
 from deskmart.operators.free_months import free_months, monthly_rate
 from deskmart.operators.occupancy import current_occupancy, forward_occupancy, forward_occupancy_by_sku
-from deskmart.operators.ordering import number_rows, with_group_total
+from deskmart.operators.ordering import rows_before
 from deskmart.operators.population import (
     CLOSING_ACTIVITIES,
     NOT_SUBLEASE,
@@ -37,8 +37,8 @@ from deskmart.operators.population import (
 from deskmart.operators.promos import latest_promo, note_tags, promo_label
 from deskmart.operators.rates import monthly_rates, vat_factors
 from deskmart.operators.relocation import relocation_deals
-from deskmart.operators.sizing import measured
-from deskmart.operators.skew import ROWS_PER_TASK, HotKeys
+from deskmart.operators.sizing import materialize, measured, together
+from deskmart.operators.skew import ROWS_PER_TASK, HotKeys, agree
 from deskmart.sources.roles import Roles
 
 RES, DEAL, MONTH = "primary_reservation_uuid", "deal_uuid", "sales_reporting_month"
@@ -95,7 +95,7 @@ def resulting_desks():
 
 # Counted for hot values; a join may use one of them that covers some of its columns.
 _SALE, _SPACE_DAY = (RES, DEAL, MONTH), ("reservable_uuid", "initial_sale_date")
-_JOIN_KEYS = [(DEAL,), (DEAL, MONTH), (RES,), (RES, DEAL), (RES, MONTH), _SALE, ("salesforce_opportunity_id",), _SPACE_DAY]
+_JOIN_KEYS = [(DEAL,), (RES,), (RES, DEAL), (RES, MONTH), _SALE, ("salesforce_opportunity_id",), _SPACE_DAY, (MONTH, "currency")]
 
 # What the lookups of a sale depend on; few columns next to the width of a sale.
 LOOKUP_KEY = [
@@ -109,10 +109,25 @@ LOOKUP_KEY = [
     "resulting_commitment_term_start",
     "resulting_commitment_term_end",
 ]
+# What they yield. ``_note`` is the digest of a note, whose text comes last.
+LOOKUPS = [
+    "recommended_discount",
+    "referral_type",
+    "email_list",
+    "applied_months",
+    "disc_desk_months",
+    "vat_adjust_factor",
+    "_note_rule",
+    "applied_discount",
+    "_note",
+    "reason_for_exclusion",
+    "_listed",
+    "_relocated",
+]
 
 
 def sale_lookups(
-    sold: DataFrame, roles: Roles, brand: Brand, active: DataFrame, rules: Sequence[PromoRule], hot: HotKeys,
+    sold: DataFrame, roles: Roles, brand: Brand, active: DataFrame, tags: DataFrame, moved: DataFrame, hot: HotKeys,
     hot_versions: HotKeys,
 ) -> DataFrame:
     """All lookups keyed by ids of a sale, on its distinct :data:`LOOKUP_KEY`.
@@ -120,7 +135,7 @@ def sale_lookups(
     Each lookup has another key, so each moves its rows. Here the moving rows are
     the ids alone; the wide sales meet the finished lookups in a single join. Since
     the lookups depend on the key only, that join multiplies a sale exactly as the
-    separate joins would. The note text comes last, so no shuffle here carries it.
+    separate joins would. Of a note only the digest is looked up, so no text moves.
     """
     free = free_months(roles.records, monthly_rate(roles.deals, brand)).drop("MRR")
     mails = sale_emails(
@@ -129,16 +144,16 @@ def sale_lookups(
     referrals = roles.opportunities.select(
         F.col("sf_opportunity_id").alias("salesforce_opportunity_id"), "referral_type"
     )
-    tags = measured(
-        note_tags(roles.reservations, rules).select(
-            F.col("uuid").alias(RES), F.col("created_month").alias(MONTH), F.col("rule").alias("_note_rule")
-        )
+    notes = roles.reservations.select(F.col("uuid").alias(RES), F.md5("notes").alias("_note")).distinct()
+    listed = roles.exclusions.select(
+        DEAL, F.col("reservation_uuid").alias(RES), "reason_for_exclusion", F.lit(True).alias("_listed")
     )
-    notes = roles.reservations.select(F.col("uuid").alias(RES), "notes").distinct()
     discounts = sale_discounts(sold, roles.discount_versions, hot_versions)
     promos = latest_promo(active.filter(F.col("reservation_uuid").isNotNull()))
 
     rows = sold.select(*LOOKUP_KEY).distinct()
+    rows = keep_unless_reason(hot.left_join(rows, listed, [RES, DEAL]), F.col("_listed"))
+    rows = hot.left_join(rows, moved.withColumn("_relocated", F.lit(True)), [DEAL])
     rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"], _SPACE_DAY)
     rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
     rows = hot.left_join(rows, mails, _SALE)
@@ -146,7 +161,7 @@ def sale_lookups(
     rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), _SALE)
     rows = hot.left_join(rows, tags, [RES, MONTH])
     rows = with_latest_promo(rows, promos, hot)
-    return hot.left_join(rows, notes, [RES])
+    return hot.left_join(rows, notes, [RES]).select(*LOOKUP_KEY, *LOOKUPS)
 
 
 def sales_rows(
@@ -156,44 +171,71 @@ def sales_rows(
     rules: Sequence[PromoRule] = PROMO_RULES,
     hot: HotKeys | None = None,
     rows_per_task: int | None = ROWS_PER_TASK,
+    months: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """The filtered sales with everything joined, before totals and numbering.
+    """The filtered sales with everything joined but the text of the notes, before totals and numbering.
 
     Filters and the joins to small tables leave the wide rows in place; the lookups
-    then arrive in one join.
+    then arrive in one join, for which sales and lookups are dealt out by the ids of a sale, which are never NULL.
     """
     hot = hot or HotKeys.none()
-    hot_versions = HotKeys.find(roles.discount_versions, [("reservable_uuid", "term")], rows_per_task)
-    sold = roles.deals.filter(reported_sale(brand)).withColumn(
-        "term", discount_term_bucket("resulting_commitment_term_months")
-    )
+    sold = roles.deals.filter(reported_sale(brand))
+    if months is not None:
+        sold = sold.filter(F.col(MONTH).between(F.lit(months[0]), F.lit(months[1])))
+    sold = sold.withColumn("term", discount_term_bucket("resulting_commitment_term_months"))
     active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
 
-    buildings = reported_territories(roles.locations).select(
-        F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
+    by_sku, now, moved, tags, rates, hot_versions = together(
+        lambda: measured(forward_occupancy_by_sku(active, as_of)),
+        lambda: measured(
+            current_occupancy(active, roles.locations).select(
+                F.col("report_month").alias(MONTH), "location_uuid", "occ_current", "cap_current"
+            )
+        ),
+        lambda: measured(relocation_deals(roles.desks, roles.reservables, roles.exits)),
+        lambda: measured(
+            note_tags(roles.reservations, rules).select(
+                F.col("uuid").alias(RES), F.col("created_month").alias(MONTH), F.col("rule").alias("_note_rule")
+            )
+        ),
+        lambda: measured(monthly_rates(roles.rates, MONTH, "currency")),
+        lambda: HotKeys.find(roles.discount_versions, [("reservable_uuid", "term")], rows_per_task),
     )
-    by_sku = measured(forward_occupancy_by_sku(active, as_of))
     ahead = measured(forward_occupancy(by_sku).drop("location_name"))
     ahead_by_sku = by_sku.select("location_uuid", "sku", "SKU_occ", "SKU_capacity")
-    now = measured(
-        current_occupancy(active, roles.locations).select(
-            F.col("report_month").alias(MONTH), "location_uuid", "occ_current", "cap_current"
-        )
-    )
-    listed = roles.exclusions.select(
-        DEAL, F.col("reservation_uuid").alias(RES), "reason_for_exclusion", F.lit(True).alias("_listed")
+    buildings = reported_territories(roles.locations).select(
+        F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
     )
-    moved = measured(relocation_deals(roles.desks, roles.reservables, roles.exits))
+    lookups = materialize(sale_lookups(sold, roles, brand, active, tags, moved, hot, hot_versions))
 
     rows = sold.join(buildings, "location_uuid")
-    rows = with_adjusted_sales(rows, moved, hot)
-    rows = keep_unless_reason(hot.left_join(rows, listed, [RES, DEAL]), F.col("_listed"))
-    rows = rows.join(monthly_rates(roles.rates, MONTH, "currency"), [MONTH, "currency"], "left")
+    rows = hot.left_join(rows, rates, [MONTH, "currency"])
     rows = rows.join(ahead, "location_uuid", "left")
     rows = rows.join(ahead_by_sku, ["location_uuid", "sku"], "left")
     rows = rows.join(now, [MONTH, "location_uuid"], "left")
-    lookups = sale_lookups(sold, roles, brand, active, rules, hot, hot_versions)
-    return hot.left_join(rows, lookups, LOOKUP_KEY, _SALE, null_safe=True)
+    others = [c for c in LOOKUP_KEY if c not in _SALE]
+    found = lookups.withColumnsRenamed({c: f"_of_{c}" for c in others})
+    # Every sale has a lookup row, unless an exclusion removed it.
+    rows = hot.join(rows, found.hint("merge"), list(_SALE), "inner", residual=agree(others, [f"_of_{c}" for c in others]))
+    rows = rows.drop(*[f"_of_{c}" for c in others]).withColumn("resulting_desks", resulting_desks())
+    extra = F.when(F.col("_relocated"), 1).otherwise(0)
+    return rows.withColumn("gross_desk_sales_mod", F.col("gross_desk_sales") + extra).filter("gross_desk_sales_mod > 0")
+
+
+def with_numbers(rows: DataFrame) -> DataFrame:
+    """``Row_Number`` of each sale, and ``deal_capacity``, the desks of its deal and month.
+
+    Both follow from the narrow (month, deal, reservation) groups: their rows are counted and summed, and running totals in
+    report order say where a group starts. Only the places inside a group need the sales themselves, and
+    the groups lie where the join with the lookups has left them.
+    """
+    groups = rows.groupBy(*_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
+    groups = rows_before(groups, [MONTH, DEAL, RES], "_rows", "_first")
+    totals = groups.groupBy(MONTH, DEAL).agg(F.sum("_desks").alias("deal_capacity"))
+    places = groups.join(totals, [MONTH, DEAL]).select(*_SALE, "_first", "deal_capacity")
+    place = F.row_number().over(Window.partitionBy(*_SALE).orderBy(*[F.asc_nulls_last(c) for c in NUMBER_ORDER]))
+    numbered = rows.withColumn("_place", place).join(places.hint("merge"), list(_SALE))
+    return numbered.withColumn("Row_Number", F.col("_first") + F.col("_place")).drop("_first", "_place")
 
 
 def sales_mart(
@@ -202,16 +244,18 @@ def sales_mart(
     as_of: date | None = None,
     rules: Sequence[PromoRule] = PROMO_RULES,
     rows_per_task: int | None = ROWS_PER_TASK,
+    months: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """The 69 columns of the mart, in ``Row_Number`` order.
+    """The 69 columns of the mart; ``Row_Number`` tells the order, the rows come in none.
 
     Sales that a join multiplies stay multiplied, each with its own number, as in
-    the report this reproduces; ``quality.duplicates`` shows them.
+    the report this reproduces; ``quality.duplicates`` shows them. ``months`` (first and last) limits the
+    sales, whose numbers then start at 1.
     """
     hot = HotKeys.find(roles.deals, _JOIN_KEYS, rows_per_task)
-    rows = sales_rows(roles, brand, as_of, rules, hot, rows_per_task).withColumn("resulting_desks", resulting_desks())
-    rows = with_group_total(rows, [DEAL, MONTH], "resulting_desks", "deal_capacity", hot)
-    rows = number_rows(rows, [F.asc_nulls_last(c) for c in NUMBER_ORDER], "Row_Number")
+    rows = with_numbers(sales_rows(roles, brand, as_of, rules, hot, rows_per_task, months))
+    texts = roles.reservations.select(F.col("uuid").alias(RES), "notes", F.md5("notes").alias("_digest")).distinct()
+    rows = hot.left_join(rows, texts.hint("merge"), [RES], residual=agree(["_note"], ["_digest"])).drop("_digest")
     months = "resulting_commitment_term_months"
     rows = with_policy(rows.withColumn("max_discount", F.coalesce("recommended_discount", F.lit(0.0))))
     return rows.select(
@@ -289,18 +333,56 @@ def sales_mart(
     )
 
 
-# The report orders by the first three; the others settle sales that a join multiplied.
+# The report orders by month, deal and reservation. The others settle sales that a join multiplied or that are
+# repeated: first what the lookups yield, then the sale's own columns. Sales alike in all of them are copies.
 NUMBER_ORDER = [
-    MONTH,
-    DEAL,
-    RES,
     "n3m_AddOccup",
     "n3m_AddCap",
     "SKU_occ",
     "SKU_capacity",
+    "budget_rate",
     "vat_adjust_factor",
     "recommended_discount",
     "applied_discount",
     "email_list",
     "reason_for_exclusion",
+    "referral_type",
+    "_note",
+    "salesforce_opportunity_id",
+    "reservable_uuid",
+    "location_uuid",
+    "initial_sale_date",
+    "reservation_start_date",
+    "reservation_end_date",
+    "resulting_commitment_term_start",
+    "resulting_commitment_term_end",
+    "resulting_commitment_term_months",
+    "region",
+    "subregion",
+    "territory",
+    "sales_market",
+    "city",
+    "location_name",
+    "deal_type",
+    "reservation_deal_activity",
+    "is_renewal_deal",
+    "sales_account_name",
+    "billing_account_name",
+    "reservable_name",
+    "product_grouping",
+    "commitment_bucket",
+    "sku",
+    "sku_group",
+    "currency",
+    "primary_reservation_capacity",
+    "primary_reservation_capacity_today",
+    "gross_desk_sales",
+    "new_desk_sales",
+    "renewal_desk_sales",
+    "desk_months",
+    "reservation_price_usd",
+    "reservation_price_local",
+    "core_committed_value_usd",
+    "core_committed_value_local",
+    "_run_at",
 ]

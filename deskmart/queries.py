@@ -32,7 +32,7 @@ from deskmart.operators import (
 from deskmart.operators.skew import HotKeys
 from deskmart.plans import inventory_mart as inventory
 from deskmart.plans import sales_mart as sales
-from deskmart.sources.adapter import LazyRoles
+from deskmart.sources.adapter import ONE_BLOCK, LazyRoles
 
 AS_OF = date(2023, 3, 15)
 BRAND = population.Brand("Acme", "AC")
@@ -65,7 +65,7 @@ def tidy(df: DataFrame) -> DataFrame:
 
 
 def query(fn: Callable[[LazyRoles], DataFrame]) -> Callable[[LazyRoles], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: tidy(fn(LazyRoles(spark, sf_dir)))
+    QUERIES[fn.__name__] = lambda spark, sf_dir: tidy(fn(LazyRoles(spark, sf_dir, spread_below=ONE_BLOCK)))
     return fn
 
 
@@ -554,19 +554,24 @@ def dq_unique_inventory(r):
 
 @query
 def dq_sales_population(r):
-    rows = r.deals.withColumn("gross_desk_sales_mod", F.col("gross_desk_sales"))
-    return quality.sales_population(rows, population.SALES_START).select(*SALE, "gross_desk_sales")
+    return quality.sales_population(sales.sales_rows(r, BRAND, AS_OF), population.SALES_START)
 
 
 @query
 def dq_inventory_population(r):
-    return quality.inventory_population(r.spaces, population.INVENTORY_START).select("date", "reservable_uuid", "sku")
+    return quality.inventory_population(inventory.inventory_rows(r), population.INVENTORY_START)
 
 
 @query
 def dq_exclusions(r):
     listed = r.exclusions.withColumnRenamed("reservation_uuid", SALE[2])
-    return quality.listed_rows(r.deals, listed, ["deal_uuid", SALE[2]], population.UPLOAD_ERROR).select(*SALE)
+    sold = quality.not_listed(
+        sales.sales_rows(r, BRAND, AS_OF), listed, ["deal_uuid", SALE[2]], population.UPLOAD_ERROR, "sales exclusions"
+    )
+    held = quality.not_listed(
+        inventory.inventory_rows(r), r.exclusions, ["reservation_uuid"], population.UPLOAD_ERROR, "inventory exclusions"
+    )
+    return sold.union(held)
 
 
 # --- marts -------------------------------------------------------------------

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Measured roll-ups (sizing.measured) and small dimensions; adaptive execution checks real sizes.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Checkpoints, where an operator uses them, are compressed and go when they are no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     # The marts plan over a hundred generated classes; the default cache of 100 recompiles them all.
     "spark.sql.codegen.cache.maxEntries": "4000",
     # Fused methods over rows this wide exceed what the JVM compiles and run interpreted.

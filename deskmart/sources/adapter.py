@@ -104,7 +104,8 @@ ROLE_SQL: dict[str, str] = {
           cast(round(l_extendedprice) + 1 as decimal(18,2)) as market_price_usd,
           cast(round(l_extendedprice) - l_linenumber as decimal(18,2)) as net_paid_price_usd,
           cast(round(l_extendedprice) * (1 + s_nationkey % 5) - l_linenumber as decimal(18,2))
-            as net_paid_price_local
+            as net_paid_price_local,
+          l_returnflag as snapshot_status
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
           join {{supplier}} on l_suppkey = s_suppkey join {{part}} on l_partkey = p_partkey""",
     "deals": f"""
@@ -276,18 +277,18 @@ ROLE_SQL: dict[str, str] = {
 
 
 _SPREAD_BY = {"lineitem": "l_orderkey", "documents": "doc_id"}
-_ONE_BLOCK = 128 << 20
+ONE_BLOCK = 128 << 20
 
 
-def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table; a big one that is a single small file is dealt out to all cores.
+def base_table(spark: SparkSession, sf_dir: str, name: str, spread_below: int = 0) -> DataFrame:
+    """A base table; a big one in a single file of less than ``spread_below`` bytes is dealt out to all cores.
 
     Such a test file holds one row group, which one task would read and process
     alone. Larger inputs come in many row groups and are left as they are.
     """
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
-    if name in _SPREAD_BY and os.path.isfile(path) and os.path.getsize(path) < _ONE_BLOCK:
+    if spread_below and name in _SPREAD_BY and os.path.isfile(path) and os.path.getsize(path) < spread_below:
         return df.repartition(spark.sparkContext.defaultParallelism, _SPREAD_BY[name])
     return df
 
@@ -295,16 +296,16 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class LazyRoles(Roles):
     """Role views that are only analysed when an operator asks for them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread_below: int = 0):
         super().__init__({})
-        self._spark, self._sf_dir, self._tables = spark, sf_dir, {}
+        self._spark, self._sf_dir, self._spread_below, self._tables = spark, sf_dir, spread_below, {}
 
     def __getitem__(self, role: str) -> DataFrame:
         if role not in self._frames:
             used = [t for t in BASE_TABLES if "{" + t + "}" in ROLE_SQL[role]]
             for t in used:
                 if t not in self._tables:
-                    self._tables[t] = base_table(self._spark, self._sf_dir, t)
+                    self._tables[t] = base_table(self._spark, self._sf_dir, t, self._spread_below)
             frame = self._spark.sql(ROLE_SQL[role], **{t: self._tables[t] for t in used})
             self._frames.update(Roles({role: frame})._frames)
         return self._frames[role]

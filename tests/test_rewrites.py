@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from deskmart.operators import discounts, promos
-from deskmart.operators.ordering import number_rows, running_over_groups, with_group_total
+from deskmart.operators.ordering import number_rows, rows_before, running_over_groups, with_group_total
 from deskmart.operators.sizing import measured
 from deskmart.operators.skew import HotKeys
 
@@ -37,16 +37,48 @@ def lookup(spark):
     return spark.createDataFrame([("h", 1), ("h", 2), ("k5", 3), ("k8", 4), ("none", 5), (None, 6)], "k string, w int")
 
 
+def salts(hot, key):
+    return [r._salts for r in hot.tables[key].collect()]
+
+
 def test_hot_keys_are_found_with_enough_salts(skewed):
     hot = HotKeys.find(skewed, [("k",), ("v",), ("k", "v")], rows_per_task=500)
-    assert list(hot.salts[("k",)].values()) == [4, 4]  # 'h' and NULL
-    assert len(hot.salts[("v",)]) == 1
-    assert list(hot.salts[("k", "v")].values()) == [3, 3]
+    assert salts(hot, ("k",)) == [4, 4]  # 'h' and NULL
+    assert len(salts(hot, ("v",))) == 1
+    assert salts(hot, ("k", "v")) == [3, 3]
     sampled = HotKeys.find(skewed.crossJoin(skewed.sparkSession.range(20)), [("k",)], rows_per_task=8000)
-    assert sampled.salts[("k",)].keys() == hot.salts[("k",)].keys()
-    assert set(sampled.salts[("k",)].values()) <= {5, 6}
-    assert HotKeys.find(skewed, [("k",)], rows_per_task=None).salts == {}
-    assert HotKeys.find(skewed, [("k",)], rows_per_task=10**6).salts == {}
+    assert {r.k for r in sampled.tables[("k",)].collect()} == {"h", None}
+    assert set(salts(sampled, ("k",))) <= {5, 6}
+    assert HotKeys.find(skewed, [("k",)], rows_per_task=None).tables == {}
+    assert HotKeys.find(skewed, [("k",)], rows_per_task=10**6).tables == {}
+
+
+TYPED = {
+    "date, moment": ("date '2023-05-01'", "timestamp_ntz '2023-05-01 00:00:00'"),
+    "int, double": ("7", "cast(7 as double)"),
+    "int, decimal": ("7", "cast(7 as decimal(10,2))"),
+    "zero, minus zero": ("cast(0 as double)", "cast(-0.0 as double)"),
+    "char": ("cast('ab' as string)", "cast('ab' as varchar(5))"),
+}
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "right"])
+@pytest.mark.parametrize("pair", sorted(TYPED))
+def test_salted_join_of_keys_of_other_types(spark, pair, how):
+    a, b = TYPED[pair]
+    many = spark.range(1000).selectExpr(f"if(id < 900, {a}, null) as k", "id as v")
+    few = spark.sql(f"select {b} as k, 1 as w union all select null, 2")
+    hot = HotKeys.find(many, [("k",)], rows_per_task=100)
+    assert len(salts(hot, ("k",))) == 1
+    got, want = (x.join(many, few, ["k"], how).select("v", "w").distinct() for x in (hot, HotKeys.none()))
+    assert len(same(got, want)) >= 900
+
+
+def test_keys_of_text_and_number_are_refused(spark):
+    many = spark.range(100).selectExpr("1 as k", "id as v")
+    hot = HotKeys.find(many, [("k",)], rows_per_task=10)
+    with pytest.raises(TypeError, match="string"):
+        hot.left_join(many, spark.sql("select '1' as k, 1 as w"), ["k"])
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
@@ -69,7 +101,7 @@ def test_salts_spread_copies(skewed, lookup):
     from deskmart.operators.skew import _salted
 
     hot = HotKeys.find(skewed.filter("k = 'h'"), [("k",)], rows_per_task=500)
-    left, _ = _salted(skewed.filter("k = 'h'"), lookup, ("k",), hot.salts[("k",)])
+    left, _ = _salted(skewed.filter("k = 'h'"), lookup, ("k",), hot.tables[("k",)])
     sizes = [r["count"] for r in left.groupBy("_salt").count().collect()]
     assert sum(sizes) == 2000 and max(sizes) < 1400
 
@@ -77,10 +109,26 @@ def test_salts_spread_copies(skewed, lookup):
 def test_numbering_equals_global_window(skewed):
     order = [F.asc_nulls_last("k"), F.asc_nulls_last("v")]
     ours = number_rows(skewed, order, "n")
-    assert [r.n for r in ours.select("n").collect()] == list(range(1, 6001))  # in order as well
+    assert sorted(r.n for r in ours.select("n").collect()) == list(range(1, 6001))
     same(ours, skewed.withColumn("n", F.row_number().over(Window.orderBy(*order))))
 
 
+def test_numbers_of_ties_do_not_depend_on_the_layout(spark):
+    rows = spark.range(400).selectExpr("id % 2 as k", "id as v")
+    numbered = [number_rows(rows.repartition(n), [F.asc("k")], "n") for n in (3, 7)]
+    same(*numbered)
+
+
+def test_rows_before_groups(spark):
+    groups = spark.range(500).selectExpr("if(id = 9, null, id * 37 % 501) as k", "id % 5 as c").repartition(7)
+    got = {r.k: r.b for r in rows_before(groups, ["k"], "c", "b").collect()}
+    total, want = 0, {}
+    for r in sorted(groups.collect(), key=lambda r: (r.k is None, r.k or 0)):
+        want[r.k] = total
+        total += r.c
+    assert got == want
+
+
 def test_numbering_survives_empty_input(skewed):
     assert number_rows(skewed.filter("v < 0"), [F.asc("v")], "n").count() == 0
 
@@ -137,7 +185,7 @@ def test_discounts_of_a_hot_reservable(spark):
     spaces = spark.createDataFrame([(d.replace(day=1), d, r, "L", "S") for r, d in dates], "report_month date, date date, reservable_uuid string, location_uuid string, sku string")
     sites = spark.createDataFrame([("L", "EMEA")], "uuid string, region string")
     hot = HotKeys.find(versions, [("reservable_uuid",), ("reservable_uuid", "term")], rows_per_task=50)
-    assert [list(v.values()) for v in hot.salts.values()] == [[6], [6]]
+    assert [salts(hot, k) for k in hot.tables] == [[6], [6]]
     same(discounts.max_discount_by_month(spaces, sites, versions, hot), discounts.max_discount_by_month(spaces, sites, versions))
     deals = spark.createDataFrame([(r, m, d) for r, d in dates for m in (1, 4, None)], "reservable_uuid string, resulting_commitment_term_months int, initial_sale_date date")
     same(discounts.sale_discounts(deals, versions, hot), discounts.sale_discounts(deals, versions))
