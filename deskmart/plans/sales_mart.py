@@ -127,8 +127,8 @@ LOOKUPS = [
 
 
 def sale_lookups(
-    sold: DataFrame, roles: Roles, brand: Brand, active: DataFrame, tags: DataFrame, moved: DataFrame, hot: HotKeys,
-    hot_versions: HotKeys,
+    sold: DataFrame, roles: Roles, hot: HotKeys, free: DataFrame, mails: DataFrame, discounts: DataFrame, promos: DataFrame,
+    tags: DataFrame, moved: DataFrame, notes: DataFrame,
 ) -> DataFrame:
     """All lookups keyed by ids of a sale, on its distinct :data:`LOOKUP_KEY`.
 
@@ -137,19 +137,13 @@ def sale_lookups(
     the lookups depend on the key only, that join multiplies a sale exactly as the
     separate joins would. Of a note only the digest is looked up, so no text moves.
     """
-    free = free_months(roles.records, monthly_rate(roles.deals, brand)).drop("MRR")
-    mails = sale_emails(
-        roles.deals, opportunity_emails(roles.opportunities, roles.team_members, roles.users), hot
-    ).drop("salesforce_opportunity_id")
     referrals = roles.opportunities.select(
         F.col("sf_opportunity_id").alias("salesforce_opportunity_id"), "referral_type"
     )
-    notes = roles.reservations.select(F.col("uuid").alias(RES), F.md5("notes").alias("_note")).distinct()
     listed = roles.exclusions.select(
         DEAL, F.col("reservation_uuid").alias(RES), "reason_for_exclusion", F.lit(True).alias("_listed")
     )
-    discounts = sale_discounts(sold, roles.discount_versions, hot_versions)
-    promos = latest_promo(active.filter(F.col("reservation_uuid").isNotNull()))
+    vat = vat_factors(roles.records).drop("territory")
 
     rows = sold.select(*LOOKUP_KEY).distinct()
     rows = keep_unless_reason(hot.left_join(rows, listed, [RES, DEAL]), F.col("_listed"))
@@ -158,34 +152,54 @@ def sale_lookups(
     rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
     rows = hot.left_join(rows, mails, _SALE)
     rows = hot.left_join(rows, free, _SALE)
-    rows = hot.left_join(rows, vat_factors(roles.records).drop("territory"), _SALE)
+    rows = hot.left_join(rows, vat, _SALE)
     rows = hot.left_join(rows, tags, [RES, MONTH])
     rows = with_latest_promo(rows, promos, hot)
     return hot.left_join(rows, notes, [RES]).select(*LOOKUP_KEY, *LOOKUPS)
 
 
-def sales_rows(
-    roles: Roles,
-    brand: Brand,
-    as_of: date | None,
-    rules: Sequence[PromoRule] = PROMO_RULES,
-    hot: HotKeys | None = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
-    months: tuple[date, date] | None = None,
-) -> DataFrame:
-    """The filtered sales with everything joined but the text of the notes, before totals and numbering.
+# What the lookups, filters and counts of a sale read: about half of its columns, written once and read by all of them.
+NARROW = [
+    *[c for c in LOOKUP_KEY if c != "term"],
+    "resulting_commitment_term_months",
+    "region",
+    "subregion",
+    "location_uuid",
+    "sku",
+    "currency",
+    "product",
+    "product_grouping",
+    "reservable_name",
+    "reservation_deal_activity",
+    "is_affiliate",
+    "primary_reservation_capacity",
+    "primary_reservation_capacity_today",
+    "gross_desk_sales",
+    "gross_committed_value_changed_before_discount_local",
+    "addon_committed_value_changed_local",
+]
+
+
+def _joined_sales(
+    roles: Roles, brand: Brand, as_of: date | None, rules: Sequence[PromoRule], rows_per_task: int | None,
+    months: tuple[date, date] | None,
+) -> tuple[DataFrame, DataFrame, HotKeys]:
+    """The sales with everything joined, the same with few columns of their own, and the hot keys.
 
     Filters and the joins to small tables leave the wide rows in place; the lookups
     then arrive in one join, for which sales and lookups are dealt out by the ids of a sale, which are never NULL.
     """
-    hot = hot or HotKeys.none()
-    sold = roles.deals.filter(reported_sale(brand))
-    if months is not None:
-        sold = sold.filter(F.col(MONTH).between(F.lit(months[0]), F.lit(months[1])))
-    sold = sold.withColumn("term", discount_term_bucket("resulting_commitment_term_months"))
-    active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
 
-    by_sku, now, moved, tags, rates, hot_versions = together(
+    def sold(deals: DataFrame) -> DataFrame:
+        kept = deals.filter(reported_sale(brand))
+        if months is not None:
+            kept = kept.filter(F.col(MONTH).between(F.lit(months[0]), F.lit(months[1])))
+        return kept.withColumn("term", discount_term_bucket("resulting_commitment_term_months"))
+
+    active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
+    # Independent, and each much narrower than what it reads: computed side by side, then joined.
+    deals, by_sku, now, moved, tags, rates, promos, notes, hot_versions = together(
+        lambda: materialize(roles.deals.select(*NARROW)),
         lambda: measured(forward_occupancy_by_sku(active, as_of)),
         lambda: measured(
             current_occupancy(active, roles.locations).select(
@@ -199,37 +213,62 @@ def sales_rows(
             )
         ),
         lambda: measured(monthly_rates(roles.rates, MONTH, "currency")),
+        lambda: materialize(latest_promo(active.filter(F.col("reservation_uuid").isNotNull()))),
+        lambda: materialize(roles.reservations.select(F.col("uuid").alias(RES), F.md5("notes").alias("_note")).distinct()),
         lambda: HotKeys.find(roles.discount_versions, [("reservable_uuid", "term")], rows_per_task),
     )
-    ahead = measured(forward_occupancy(by_sku).drop("location_name"))
+    ahead, hot, free, discounts = together(
+        lambda: measured(forward_occupancy(by_sku).drop("location_name")),
+        lambda: HotKeys.find(deals, _JOIN_KEYS, rows_per_task),
+        lambda: materialize(free_months(roles.records, monthly_rate(deals, brand)).drop("MRR")),
+        lambda: materialize(sale_discounts(sold(deals), roles.discount_versions, hot_versions)),
+    )
+    mails = opportunity_emails(roles.opportunities, roles.team_members, roles.users)
+    mails = sale_emails(deals, mails, hot).drop("salesforce_opportunity_id")
+    lookups = materialize(sale_lookups(sold(deals), roles, hot, free, mails, discounts, promos, tags, moved, notes))
+
     ahead_by_sku = by_sku.select("location_uuid", "sku", "SKU_occ", "SKU_capacity")
     buildings = reported_territories(roles.locations).select(
         F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
     )
-    lookups = materialize(sale_lookups(sold, roles, brand, active, tags, moved, hot, hot_versions))
-
-    rows = sold.join(buildings, "location_uuid")
-    rows = hot.left_join(rows, rates, [MONTH, "currency"])
-    rows = rows.join(ahead, "location_uuid", "left")
-    rows = rows.join(ahead_by_sku, ["location_uuid", "sku"], "left")
-    rows = rows.join(now, [MONTH, "location_uuid"], "left")
     others = [c for c in LOOKUP_KEY if c not in _SALE]
     found = lookups.withColumnsRenamed({c: f"_of_{c}" for c in others})
-    # Every sale has a lookup row, unless an exclusion removed it.
-    rows = hot.join(rows, found.hint("merge"), list(_SALE), "inner", residual=agree(others, [f"_of_{c}" for c in others]))
-    rows = rows.drop(*[f"_of_{c}" for c in others]).withColumn("resulting_desks", resulting_desks())
-    extra = F.when(F.col("_relocated"), 1).otherwise(0)
-    return rows.withColumn("gross_desk_sales_mod", F.col("gross_desk_sales") + extra).filter("gross_desk_sales_mod > 0")
+
+    def told(rows: DataFrame) -> DataFrame:
+        rows = hot.left_join(rows.join(buildings, "location_uuid"), rates, [MONTH, "currency"])
+        rows = rows.join(ahead, "location_uuid", "left")
+        rows = rows.join(ahead_by_sku, ["location_uuid", "sku"], "left")
+        rows = rows.join(now, [MONTH, "location_uuid"], "left")
+        # Every sale has a lookup row, unless an exclusion removed it.
+        same_key = agree(others, [f"_of_{c}" for c in others])
+        rows = hot.join(rows, found.hint("merge"), list(_SALE), "inner", residual=same_key)
+        rows = rows.drop(*[f"_of_{c}" for c in others]).withColumn("resulting_desks", resulting_desks())
+        extra = F.when(F.col("_relocated"), 1).otherwise(0)
+        return rows.withColumn("gross_desk_sales_mod", F.col("gross_desk_sales") + extra).filter("gross_desk_sales_mod > 0")
+
+    return told(sold(roles.deals)), told(sold(deals)), hot
+
+
+def sales_rows(
+    roles: Roles,
+    brand: Brand,
+    as_of: date | None,
+    rules: Sequence[PromoRule] = PROMO_RULES,
+    rows_per_task: int | None = ROWS_PER_TASK,
+    months: tuple[date, date] | None = None,
+) -> DataFrame:
+    """The filtered sales with everything joined but the text of the notes, before totals and numbering."""
+    return _joined_sales(roles, brand, as_of, rules, rows_per_task, months)[0]
 
 
-def with_numbers(rows: DataFrame) -> DataFrame:
+def with_numbers(rows: DataFrame, slim: DataFrame) -> DataFrame:
     """``Row_Number`` of each sale, and ``deal_capacity``, the desks of its deal and month.
 
-    Both follow from the narrow (month, deal, reservation) groups: their rows are counted and summed, and running totals in
-    report order say where a group starts. Only the places inside a group need the sales themselves, and
+    ``slim`` are the same rows with few columns. Both results follow from their (month, deal, reservation) groups: rows are
+    counted and desks summed, and running totals in report order say where a group starts. Only the places inside a group need the sales themselves, and
     the groups lie where the join with the lookups has left them.
     """
-    groups = rows.groupBy(*_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
+    groups = slim.groupBy(*_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
     groups = rows_before(groups, [MONTH, DEAL, RES], "_rows", "_first")
     totals = groups.groupBy(MONTH, DEAL).agg(F.sum("_desks").alias("deal_capacity"))
     places = groups.join(totals, [MONTH, DEAL]).select(*_SALE, "_first", "deal_capacity")
@@ -252,8 +291,8 @@ def sales_mart(
     the report this reproduces; ``quality.duplicates`` shows them. ``months`` (first and last) limits the
     sales, whose numbers then start at 1.
     """
-    hot = HotKeys.find(roles.deals, _JOIN_KEYS, rows_per_task)
-    rows = with_numbers(sales_rows(roles, brand, as_of, rules, hot, rows_per_task, months))
+    rows, slim, hot = _joined_sales(roles, brand, as_of, rules, rows_per_task, months)
+    rows = with_numbers(rows, slim)
     texts = roles.reservations.select(F.col("uuid").alias(RES), "notes", F.md5("notes").alias("_digest")).distinct()
     rows = hot.left_join(rows, texts.hint("merge"), [RES], residual=agree(["_note"], ["_digest"])).drop("_digest")
     months = "resulting_commitment_term_months"
