@@ -1,6 +1,6 @@
 """Document fingerprints from closed syncmers, in DataFrame functions alone.
 
-A text is read as units: runs of up to four characters that start with each word. Of the ``K`` consecutive units at each
+A text is read as units: runs of up to two characters that start with each word. Of the ``K`` consecutive units at each
 place, a hash is formed for each inner pair of neighbours; the place is an anchor if the smallest of these lies at
 an edge, first or last. Whether it does follows from the K units alone, whatever stands around them, so an edit
 changes the anchors that it touches and no others, and anchors of equal passages are equal and keep their order.
@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from deskmart.llm.common import let, stage
 
 K = 6
-UNIT = r"\S{1,4}"
+UNIT = r"\S{1,2}"
 SKETCH = 128
 
 

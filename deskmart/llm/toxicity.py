@@ -22,7 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskmart.llm.common import stage
+
 SAMPLE_ROWS = 10_000
+SAMPLE_CHARS = 64_000_000
 FEATURES = 2_000
 FOLDS = 5
 
@@ -149,11 +152,12 @@ def held_out(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` rows of ``docs(doc_id, text)`` with a label in ``labels(doc_id, toxic)``, held-out ones left out.
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
+    """Fit on a sample of rows of ``docs(doc_id, text)`` with a label in ``labels(doc_id, toxic)``, held-out ones left out.
 
-    Which rows follows from a hash of their ids, half of them toxic if there are as many. Rows with a NULL label or id teach nothing; of
-    an id with several labels the largest counts.
+    The sample has at most ``sample_rows`` whole texts, half of them toxic if there are as many, and of these, in the order of a hash
+    of their ids, as many as have ``sample_chars`` characters together. Rows with a NULL label or id teach nothing; of an id with
+    several labels the largest counts.
     """
     marks = labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -164,8 +168,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         picked = part if picked is None else picked.union(part)
     # At most `sample_rows` ids: the bound of this broadcast is the parameter.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.select("doc_id", "text", "toxic").orderBy("doc_id").collect()
-    return fit([r.text for r in rows], [r.toxic for r in rows])
+    rows = stage(rows.select(order.alias("place"), "doc_id", "text", "toxic"), "toxicity-sample")
+    total, last = 0, None
+    for r in rows.select("place", F.char_length("text").alias("n")).orderBy("place").collect():
+        total += r.n or 0
+        if total > sample_chars:
+            break
+        last = r.place
+    taken = [] if last is None else rows.filter(F.col("place") <= last).orderBy("place", "doc_id").collect()
+    return fit([r.text for r in taken], [r.toxic for r in taken])
 
 
 def score_column(docs: DataFrame, model: Model):

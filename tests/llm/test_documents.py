@@ -48,7 +48,7 @@ def _pair(a, b):
 
 
 def _anchor_places(text):
-    u = re.findall(r"[^ \t\n\x0b\f\r]{1,4}", text or "")
+    u = re.findall(r"[^ \t\n\x0b\f\r]{1,2}", text or "")
     h = [_pair(a, b) for a, b in zip(u, u[1:])]
     return u, [i for i in range(len(h) - 4) if min(h[i], h[i + 4]) <= min(h[i + 1 : i + 4])]
 
@@ -508,3 +508,16 @@ def test_empty_tables(spark, make_docs):
         secrets.find_secrets(docs),
     ):
         assert out.count() == 0
+
+
+def test_training_sample_is_bounded(spark, make_docs, monkeypatch):
+    rows = _toxic_rows(100)
+    docs = make_docs([(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks: seen.append(texts))
+    toxicity.train(docs, labels, sample_rows=20)
+    toxicity.train(docs, labels, sample_chars=2_000)
+    toxicity.train(docs, labels, sample_chars=0)
+    assert len(seen[0]) == 20 and 0 < sum(map(len, seen[1])) <= 2_000 and seen[2] == []
+    assert set(seen[0]) | set(seen[1]) <= {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5}
