@@ -8,7 +8,7 @@ import re
 from collections import Counter
 
 import pytest
-from awkward import SF_DIR, shipped  # noqa: F401
+from awkward import SF_DIR, make_docs, rows, shipped  # noqa: F401
 
 import corpus_pipeline
 from deskmart.llm import html_extraction, warc
@@ -162,3 +162,19 @@ def test_stages_and_run(spark):
         docs = spark.createDataFrame([r for r, n in kept.items() for _ in range(n)], docs.schema)
     last = Counter((r.doc_id, r.size) for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect())
     assert Counter((r.doc_id, r.size) for r in corpus_pipeline.run(spark, SF_DIR).collect()) == last
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_rows(spark, make_docs, rows, empty):
+    """NULLs, empty texts, repeated rows, clashing column names; and no rows at all."""
+    docs = make_docs(rows, extra=True)
+    docs = docs.limit(0) if empty else docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        got = Counter(tuple(r) for r in out.collect())
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert sum(got.values()) == docs.count()
+        else:
+            whole = Counter(tuple(r) for r in docs.collect())
+            assert out.columns == docs.columns and set(got) <= set(whole)
+            assert all(n <= 2 * whole[r] for r, n in got.items()) and (empty or got)
