@@ -38,7 +38,7 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_RANDOM)
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_RANDOM)
 LONG = re.compile(r"[A-Za-z0-9+/_=-]{%d}" % MIN_RANDOM)
 
 #: Alphabets in order of size; the first that holds all characters of a candidate is its encoding. No encoder writes letters alone, so a

@@ -488,6 +488,20 @@ def test_random_strings_are_told_from_words(spark, make_docs):
     assert hits >= 18
 
 
+def test_random_strings_behind_an_equals_sign(spark, make_docs):
+    rng = random.Random(7)
+    forms = ["session={}", "SESSION_ID={} ", "see https://a.example/x?sig={}&v=1", "a_name_of_more_than_twenty_characters={}", "k=={}"]
+    table, places = [(i, "the of and to in is that it was for on are as with his they at be this from " * 30) for i in range(40)], {}
+    for i in range(50):
+        token, form = _random_token(rng, 48), forms[i % len(forms)]
+        table.append((9000 + i, form.format(token)))
+        places[9000 + i] = (form.index("{"), form.index("{") + 48)
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secrets.find_secrets(make_docs(table)).collect()}
+    hits = Counter(i % len(forms) for i, place in places.items() if found[i] == [place])
+    assert all(hits[k] >= 7 for k in range(len(forms))), hits
+    assert not any(v for i, v in found.items() if i not in places)
+
+
 # All operators
 
 
