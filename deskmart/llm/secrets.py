@@ -8,13 +8,15 @@ the middle of the alphabet, and the serial correlation of neighbouring symbols.
 A test of randomness has randomness as its null hypothesis, and false discoveries are natural strings taken for
 secrets. So the three p-values, combined, serve as a score, and the p-value of a candidate is the share of natural strings
 of its length class that score at least as high. Natural strings follow the letter pairs of the whole corpus: the pairs
-are counted over all texts, and a fixed number of strings drawn from that chain gives the distribution. Benjamini and
-Hochberg's rule over all candidates of a length class then bounds the share of false discoveries; it
-needs only their counts per class and p-value, of which there are a fixed number.
+are counted over all texts, and strings drawn from that chain give the distribution. Its tail is split into levels: the tenth with
+the highest scores is copied and redrawn, letter by letter, among natural strings that score no less, as often as it takes to resolve the
+p-values that the number of candidates asks for. Benjamini and Hochberg's rule over the distinct candidates of a length class then bounds
+the share of false discoveries; it needs only their counts per class and p-value, of which there are a fixed number. Copies do not move it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -30,6 +32,8 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_RANDOM = 20
 RATE = 0.01
 DRAWS = 20_000
+LEVEL = 2_000  # strings per level of the tail, a tenth of which goes on to the next
+LEAST_DRAWS = 20  # a p-value rests on at least so many strings
 CLASSES = (20, 24, 32, 48, 64)
 
 # Keywords stand in either case; the value alone is case-sensitive, and so is the rest of the pattern.
@@ -114,15 +118,16 @@ def score(token: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
-def candidates(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int, int, int, float]]:
-    """Runs of key characters that no span in ``taken`` touches: start, end, length class, score."""
+def candidates(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int, int, int, float, int]]:
+    """Runs of key characters that no span in ``taken`` touches: start, end, length class, score, hash without the padding."""
     if not LONG.search(text):
         return []
     found = []
     for m in CANDIDATE.finditer(text):
         if not any(a < m.end() and m.start() < b for a, _, b in taken):
-            size = len(m.group().rstrip("="))
-            found.append((m.start(), m.end(), int(np.searchsorted(CLASSES, size, "right")) - 1, score(m.group())))
+            body = m.group().rstrip("=")
+            own = int.from_bytes(hashlib.blake2b(body.encode(), digest_size=8).digest(), "little", signed=True)
+            found.append((m.start(), m.end(), int(np.searchsorted(CLASSES, len(body), "right")) - 1, score(body), own))
     return found
 
 
@@ -136,25 +141,87 @@ def letter_pairs(text: str) -> np.ndarray:
     return np.bincount(codes[:-1] * 27 + codes[1:], minlength=729)
 
 
-def natural_scores(pairs: np.ndarray, size: int, draws: int = DRAWS) -> np.ndarray:
-    """Sorted scores of ``draws`` strings of ``size`` letters from the chain of ``pairs``, with a fixed seed."""
-    chain = np.asarray(pairs, float).reshape(27, 27)[:26, :26] + 1e-9
-    start = np.cumsum(chain.sum(1)) / chain.sum()
-    steps = np.cumsum(chain, 1) / chain.sum(1, keepdims=True)
-    random = np.random.default_rng(size).random((size, draws))
-    x = np.searchsorted(start, random[0]).clip(0, 25)
-    letters = [x]
-    for i in range(1, size):
-        x = (steps[x] < random[i][:, None]).sum(1).clip(0, 25)
-        letters.append(x)
-    drawn = (np.array(letters, np.uint8).T + 97).tobytes().decode()
-    return np.sort([score(drawn[i * size : (i + 1) * size]) for i in range(draws)])
-
-
-def discovery_bound(scores: np.ndarray, natural: np.ndarray, counts: np.ndarray, rate: float) -> float:
+def letter_scores(x: np.ndarray) -> np.ndarray:
+    """:func:`score` of many strings of lower-case letters at once; a row of ``x`` has the letters' numbers, from 0, at one place of all strings."""
+    size, n = x.shape
+    counts = np.zeros((26, n))
+    for row in x:
+        counts[row, np.arange(n)] += 1
+    m = len(ALPHABETS["lower36"])
+    chi, df = (counts * counts).sum(0) * m / size - size, m - 1
+    tails = np.vectorize(_normal_tail, otypes=[float])
+    uniform = tails(((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    high = x + 10 >= m / 2
+    n1 = high.sum(0)
+    mean = 2 * n1 * (size - n1) / size + 1
+    var = np.maximum((mean - 1) * (mean - 2) / (size - 1), 1e-9)
+    runs = 2 * tails(np.abs(1 + (high[1:] != high[:-1]).sum(0) - mean) / np.sqrt(var))
+    runs = np.where((n1 > 0) & (n1 < size), np.minimum(runs, 1.0), 2.0 ** (1 - size))
+    spread = x - x.mean(0)
+    total = (spread**2).sum(0)
+    r = np.where(total > 0, (spread[1:] * spread[:-1]).sum(0) / np.where(total > 0, total, 1), 1.0)
+    ps = np.array([uniform, runs, np.minimum(2 * tails(np.abs(r + 1 / size) * math.sqrt(size)), 1.0)])
+    half = -np.log(np.maximum(ps, 1e-300)).sum(0)
+    out = np.where(ps.min(0) > 0, np.exp(-half) * (1 + half + half * half / 2), 0.0)
+    for i in np.flatnonzero(x.max(0) < 6):  # hexadecimal
+        out[i] = score((x[:, i].astype(np.uint8) + 97).tobytes().decode())
+    return out
+
+
+def natural_scores(pairs: np.ndarray, size: int, least: float, draws: int = DRAWS) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of strings of ``size`` letters from the chain of ``pairs``, ascending, and the share of natural strings each stands for.
+
+    Shares from the top down add up to p-values, resolved to below ``least``. Every level of the tail is moved by Gibbs steps that keep
+    the chain's law among the strings above the level's score. Half a count is added to each pair, since a pair that the corpus lacks is
+    not impossible. The seed is fixed.
+    """
+    chain = np.asarray(pairs, float).reshape(27, 27)[:26, :26] + 0.5
+    start, steps = chain.sum(1) / chain.sum(), chain / chain.sum(1, keepdims=True)
+    rng = np.random.default_rng(size)
+
+    def pick(weights: np.ndarray) -> np.ndarray:
+        upto = np.cumsum(weights, 1)
+        return (upto < rng.random(len(upto))[:, None] * upto[:, -1:]).sum(1).clip(0, 25)
+
+    letters = [pick(np.broadcast_to(start, (draws, 26)))]
+    for _ in range(1, size):
+        letters.append(pick(steps[letters[-1]]))
+    x, share, scores, shares = np.array(letters), 1.0, [], []
+    value = letter_scores(x)
+    while True:
+        level = np.sort(value)[-max(len(value) // 10, 1)]
+        above = value >= level
+        if share <= least or above.all():
+            break
+        scores.append(value[~above])
+        shares.append(np.full(len(scores[-1]), share / len(value)))
+        share *= above.mean()
+        live = rng.choice(np.flatnonzero(above), LEVEL)
+        x, value = x[:, live], value[live]
+        for at in rng.permutation(size):
+            weights = steps[x[at - 1]] if at else np.broadcast_to(start, (LEVEL, 26))
+            if at + 1 < size:
+                weights = weights * steps.T[x[at + 1]]
+            moved = x.copy()
+            moved[at] = pick(weights)
+            new = letter_scores(moved)
+            x, value = np.where(new >= level, moved, x), np.where(new >= level, new, value)
+    scores, shares = np.concatenate([*scores, value]), np.concatenate([*shares, np.full(len(value), share / len(value))])
+    order = np.argsort(scores, kind="stable")
+    return scores[order], shares[order]
+
+
+def tail(natural: np.ndarray, shares: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Estimated share of natural strings that score at least as high as each of ``scores``; scores above nearly all drawn get the least one."""
+    summed = np.cumsum(shares[::-1]) + shares[::-1]
+    at = np.maximum(len(natural) - np.searchsorted(natural, scores, "left"), min(LEAST_DRAWS, len(natural))) - 1
+    return np.minimum(summed[at], 1.0)
+
+
+def discovery_bound(scores: np.ndarray, natural: np.ndarray, shares: np.ndarray, counts: np.ndarray, rate: float) -> float:
     """Smallest score that counts as a discovery: the largest k with p(k) <= rate * k / n, or infinity."""
     order = np.argsort(-scores)
-    p = (len(natural) - np.searchsorted(natural, scores[order], "left") + 1) / (len(natural) + 1)
+    p = tail(natural, shares, scores[order])
     rank = np.cumsum(counts[order])
     passed = np.flatnonzero(p <= rate * rank / counts.sum())
     return float(scores[order][passed[-1]]) if len(passed) else math.inf
@@ -165,10 +232,10 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
     Starts and ends are code points, ends exclusive; ``base`` are the pattern matches, ``spans`` these and the candidates that pass the
     tests. Both are ordered by start and then by kind as listed in ``KINDS``. A NULL text counts as empty and has none; each of several
-    repeated rows gets its own result and counts in the corpus statistics; an empty table gives no rows; further columns are ignored.
+    repeated rows gets its own result and counts in the letter pairs; an empty table gives no rows; further columns are ignored.
     """
     spans = "array<struct<start:long,kind:string,end:long>>"
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base {spans}, tested array<struct<start:long,end:long,class:int,score:double>>, pairs array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base {spans}, tested array<struct<start:long,end:long,class:int,score:double,hash:long>>, pairs array<long>"
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -177,7 +244,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
                 text = text or ""
                 own = base_spans(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in own])
-                tested.append([{"start": a, "end": b, "class": c, "score": s} for a, b, c, s in candidates(text, own)])
+                tested.append([dict(zip(("start", "end", "class", "score", "hash"), c, strict=True)) for c in candidates(text, own)])
                 pairs += letter_pairs(text)
             out = pd.DataFrame({"doc_id": batch["doc_id"], "base": base, "tested": tested, "pairs": None})
             yield out
@@ -191,13 +258,18 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     rows = found.filter("pairs is null")
     # Scores are compared on a grid, so their number does not grow with the corpus.
     grid = F.floor(F.col("t.score") * 10_000) / 10_000
-    counts = rows.select(F.explode("tested").alias("t")).groupBy(F.col("t.class").alias("c"), grid.alias("s")).agg(F.count("*").alias("n"))
-    table = counts.toPandas()
+    # Equal strings have equal scores and hashes, and count once however many copies the corpus has.
+    distinct = rows.select(F.explode("tested").alias("t")).select(F.col("t.class").alias("c"), grid.alias("s"), "t.hash").distinct()
+    table = distinct.groupBy("c", "s").agg(F.count("*").alias("n")).toPandas()
     bounds = []
     for c, size in enumerate(CLASSES):
         own = table[table["c"] == c]
-        natural = np.floor(natural_scores(pairs, size) * 10_000) / 10_000 if len(own) else None
-        bounds.append(discovery_bound(own["s"].to_numpy(float), natural, own["n"].to_numpy(float), rate) if len(own) else math.inf)
+        if not len(own):
+            bounds.append(math.inf)
+            continue
+        natural, shares = natural_scores(pairs, size, rate / own["n"].sum() / LEAST_DRAWS)
+        natural = np.floor(natural * 10_000) / 10_000
+        bounds.append(discovery_bound(own["s"].to_numpy(float), natural, shares, own["n"].to_numpy(float), rate))
     def passes(t):
         return F.floor(t["score"] * 10_000) / 10_000 >= F.element_at(F.array(*[F.lit(b) for b in bounds]), t["class"] + 1)
 

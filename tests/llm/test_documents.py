@@ -502,6 +502,28 @@ def test_random_strings_behind_an_equals_sign(spark, make_docs):
     assert not any(v for i, v in found.items() if i not in places)
 
 
+def test_natural_runs_and_copies_do_not_hide_secrets(spark, make_docs):
+    rng = random.Random(8)
+    common = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when".split()
+    words = [(i, " ".join(rng.choice(common) for _ in range(200))) for i in range(60)]
+    planted = {9000 + i: f"say {_random_token(rng, 48)} there" for i in range(10)}
+    few = {9000 + i for i in range(10) if i % 2}
+    glued = [(1000 + i, " ".join("".join(rng.choice(common) for _ in range(20))[:50] for _ in range(30))) for i in range(100)]
+    lines = [(2000 + i, ("-" * 60 + "\n") * 500) for i in range(10)]
+    copies = [(3000 + i, "of " + "thewordsofthis" * 4) for i in range(3000)]
+    for table, secret in ((glued, set(planted)), (lines + copies, few)):
+        rows = words + table + [(i, planted[i]) for i in secret]
+        found = {r.doc_id for r in secrets.find_secrets(make_docs(rows)).collect() if r.spans}
+        assert found <= secret and len(found) >= 0.8 * len(secret)
+
+
+def test_many_scores_at_once():
+    places = np.random.default_rng(0).integers(0, 26, (30, 200))
+    places[:, 0], places[:, 1] = 3, np.arange(30) % 6
+    one_by_one = [secrets.score(bytes((c + 97).tolist()).decode()) for c in places.T]
+    assert np.allclose(secrets.letter_scores(places), one_by_one)
+
+
 # All operators
 
 
