@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -138,6 +139,39 @@ def test_removed_strings_of_given_tables(spark):
     assert sorted((tuple(r) for r in got), key=repr) == _brute_removed(rows)
 
 
+def test_hot_anchors_and_ids_are_split(spark, make_docs, monkeypatch, tmp_path):
+    rng, phrase = random.Random(12), "a phrase in a third of documents"
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    def noise(n):
+        return "".join(rng.choices(letters, k=n))
+    table = [(i, noise(100) + phrase + noise(100)) for i in range(2000)]
+    table += [(2000 + i, table[i][1][50:180]) for i in range(0, 1000, 10)]
+    table += [(None, noise(400)) for _ in range(500)] + [(None, table[5][1])] + [(7, "the same " * 40)] * 500
+    compare, kept, folder = suffix_dedup.compare_snippets, suffix_dedup._kept, str(tmp_path)
+
+    def note(kind, n):
+        with open(f"{folder}/{kind}-{uuid.uuid4().hex}", "w") as f:
+            f.write(str(n))
+
+    def counted(anchors, contents, *rest):
+        note("shard", sum(map(len, contents)))
+        return compare(anchors, contents, *rest)
+
+    def measured(texts, gone):
+        note("bucket", len(texts.data))
+        return kept(texts, gone)
+
+    monkeypatch.setattr(suffix_dedup, "compare_snippets", counted)
+    monkeypatch.setattr(suffix_dedup, "_kept", measured)
+    got = suffix_dedup.remove_repeats(make_docs(table), bucket_bytes=20_000).collect()
+    monkeypatch.undo()
+    assert sorted((tuple(r) for r in got), key=repr) == _brute_removed(table)
+    removed = {r.doc_id: r.n_removed for r in got if r.doc_id is not None}
+    assert all(removed[2000 + i] == 130 for i in range(0, 1000, 10))
+    sizes = {kind: max(int(p.read_text()) for p in tmp_path.glob(f"{kind}-*")) for kind in ("shard", "bucket")}
+    assert sizes["shard"] < 60_000 and sizes["bucket"] < 60_000, sizes
+
+
 # SimHash
 
 
