@@ -1,7 +1,8 @@
 """Sharding over fixed virtual slots.
 
-Every record hashes to one of a fixed number of virtual slots; the number never follows the
-data, so a record keeps its slot for good. Bytes and rows are summed per slot, and a small
+Every record hashes, by id, text and the number among its copies, to one of a fixed number of virtual
+slots; the number never follows the data, so a record keeps its slot for good, and an id that many rows
+carry fills no slot. Bytes and rows are summed per slot, and a small
 versioned table maps slots to shards. Rebalancing edits that table alone: it moves whole
 slots and leaves the other entries, hence the other records, where they are.
 
@@ -22,6 +23,7 @@ from pyspark.sql.window import Window
 from deskmart.llm.common import scratch, stage
 
 SLOTS = 4096
+COPIES = 1000  # numbered per step, so that no array of copies grows long
 
 
 @dataclass(frozen=True)
@@ -91,8 +93,16 @@ class SlotMap:
         return cls(version, rows[0].n_shards, tuple(r.shard for r in rows))
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def slot_of(*key: Column, slots: int = SLOTS) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int")
+
+
+def number_copies(records: DataFrame) -> DataFrame:
+    """``records`` with ``copy``, from 0 among equal rows; counted first, so copies meet in one task only as a count."""
+    counted = records.groupBy(*records.columns).agg(F.count("*").alias("_n"))
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES))))
+    last = F.least(F.col("_n"), (F.col("_block") + 1) * COPIES) - 1
+    return blocks.withColumn("copy", F.explode(F.sequence(F.col("_block") * COPIES, last))).drop("_n", "_block")
 
 
 def slot_totals(records: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int]]:
@@ -111,20 +121,16 @@ def shard_documents(
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version``: ``size`` is the
     UTF-8 length plus ``overhead`` (NULL text: none), ``slot`` the place in the shard, gapless from 0, by virtual
     slot and then by doc_id, size and checksum. Rows that agree in all three are alike, so ties
-    change nothing. A NULL doc_id has a virtual slot like any value; an empty table gives no rows; further
-    columns are ignored. A doc_id repeated very often stays in its one slot: slots are never split.
+    change nothing. Rows with a NULL or repeated doc_id spread over the virtual slots by their texts, equal rows by their number; an
+    empty table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    records = stage(
-        docs.select(
-            docs["doc_id"].alias("doc_id"),
-            (F.octet_length(text) + overhead).cast("long").alias("size"),
-            F.crc32(text).alias("text_crc32"),
-            slot_of(docs["doc_id"], slots).alias("vslot"),
-        ),
-        "slots",
+    numbered = number_copies(
+        docs.select(docs["doc_id"].alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     )
+    vslot = slot_of(F.col("doc_id"), F.col("text_crc32"), F.col("copy"), slots=slots)
+    records = stage(numbered.select("doc_id", "size", "text_crc32", vslot.alias("vslot")), "slots")
     weights, counts = slot_totals(records, slots)
     slot_map = SlotMap.balanced(weights, n_shards)
     slot_map.save(spark, map_path or scratch(spark, "slot-map"))

@@ -273,6 +273,22 @@ def test_shards_of_given_table(spark):
     assert max(load.values()) < 1.02 * mean and min(load.values()) > 0.98 * mean
 
 
+def test_hot_ids_spread_over_shards(spark, make_docs):
+    table = [(i, f"text {i} " * 20) for i in range(4000)]
+    table += [(None, f"more {i} " * 20) for i in range(2000)] + [(5, "the same text " * 14)] * 2500
+    got = slot_sharding.shard_documents(make_docs(table), n_shards=10).collect()
+    expected = Counter((i, len(t.encode()) + 16, zlib.crc32(t.encode())) for i, t in table)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == expected
+    load, places, vslots = Counter(), defaultdict(list), Counter(r.vslot for r in got)
+    for r in got:
+        load[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    mean = sum(load.values()) / 10
+    assert max(load.values()) < 1.02 * mean and min(load.values()) > 0.98 * mean, (load, mean)
+    assert max(vslots.values()) < 20
+
+
 def test_rebalancing_edits_the_map(spark, tmp_path):
     rng = random.Random(2)
     weights = [rng.randint(0, 100) for _ in range(slot_sharding.SLOTS)]
