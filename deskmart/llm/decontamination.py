@@ -84,12 +84,12 @@ class BenchmarkBlock:
     span: int
     gram: int
     codes: dict[bytes, int] = field(default_factory=dict)
-    spans: dict[bytes, tuple[str, ...]] = field(default_factory=dict)  # codes of a span -> items
+    spans: dict[bytes, tuple[str | None, ...]] = field(default_factory=dict)  # codes of a span -> items
     kept: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     whole: dict[int, np.ndarray] = field(default_factory=dict)  # item length below `span` -> hashes
 
     @classmethod
-    def build(cls, items: list[tuple[str, list[bytes]]], span: int, gram: int) -> BenchmarkBlock:
+    def build(cls, items: list[tuple[str | None, list[bytes]]], span: int, gram: int) -> BenchmarkBlock:
         block, spans, kept, whole = cls(span, gram), {}, set(), {}
         for item, words in items:
             codes = np.array([block.codes.setdefault(w, len(block.codes) + 1) for w in words], np.int32)
@@ -114,7 +114,7 @@ class BenchmarkBlock:
         at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
         return table[at] == hashes
 
-    def match(self, words: list[bytes]) -> list[tuple[int, int, tuple[str, ...]]]:
+    def match(self, words: list[bytes]) -> list[tuple[int, int, tuple[str | None, ...]]]:
         """Spans of a document that occur in items: start, end, items."""
         look = self.codes.get
         codes = np.array([look(w, 0) for w in words], np.int32)
@@ -144,7 +144,7 @@ def benchmark_blocks(benchmark: DataFrame, span: int, gram: int, block_words: in
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).toLocalIterator():
         words = words_of(row.t)
-        if words and row.i is not None:
+        if words:
             block.append((row.i, words))
             size += len(words)
         if size >= block_words:
@@ -164,7 +164,7 @@ def find_overlaps(
 
     Added, named with ``prefix``: ``n_words``, ``n_hit`` (words inside shared spans), ``items`` (their ids
     as strings, sorted), ``spans`` (merged runs of hit words: start, end). A NULL text has no words and no hits, nor has a
-    NULL or empty item; items without an id are left out. Repeated rows give repeated rows, repeated items count once.
+    NULL or empty item; items without an id give hits, but no entry in ``items``. Repeated rows give repeated rows, repeated items count once.
     Columns of ``docs`` that bear an added name are replaced.
     """
     names = {n: prefix + n for n in ("n_words", "n_hit", "items", "spans")}
@@ -197,7 +197,7 @@ def _overlap(index: BenchmarkBlock, text: str | None, items, spans) -> tuple[int
     ids = set(items) if items is not None else set()
     runs = sorted([(s["start"], s["end"]) for s in spans] if spans is not None else []) + [(a, b) for a, b, _ in found]
     for _, _, of in found:
-        ids.update(of)
+        ids.update(i for i in of if i is not None)
     merged: list[list[int]] = []
     for a, b in sorted(runs):
         if merged and a <= merged[-1][1]:

@@ -352,6 +352,14 @@ def test_overlaps(spark, make_docs, rows, block_words):
     assert all(sum(s.end - s.start for s in r.bench_spans) == r.bench_n_hit for r in found)
 
 
+def test_items_without_an_id_give_hits(spark, make_docs):
+    passage = " ".join(f"w{i}" for i in range(20))
+    bench = spark.createDataFrame([(None, passage), (None, "only three words"), (1, "w30 w31")], "item_id long, text string")
+    docs = make_docs([(1, f"before {passage} after"), (2, "here are only three words"), (3, "w30 w31 w32"), (4, "none")])
+    found = decontamination.find_overlaps(docs, bench).select("doc_id", "bench_n_hit", "bench_items").collect()
+    assert sorted(tuple(r) for r in found) == [(1, 20, []), (2, 3, []), (3, 2, ["1"]), (4, 0, [])]
+
+
 def awkward_words(rows):
     return [t for _, t in rows if t and len(t.split()) > 3]
 
