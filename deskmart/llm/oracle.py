@@ -51,4 +51,53 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_warc_salvage": OP5, "op7_winnowing_decontamination": OP7}
+# crc32 bit by bit over the decimal digits; a prefix is known by the digest of the digests of its turns.
+OP13 = """
+WITH t AS (
+  SELECT conv_id, code, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, code) AS place
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code
+        FROM conversations WHERE conv_id IS NOT NULL)
+),
+ids AS (
+  SELECT conv_id,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, c: list_reduce(
+             list_prepend(xor(a, c), range(8)),
+             lambda b, i: xor(b >> 1, CASE WHEN b % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+),
+turns AS (
+  SELECT i.conv_id, 0 AS own, place, code, n FROM ids i JOIN t ON t.conv_id = i.conv_id - i.conv_id % 100 AND place <= h
+  UNION ALL
+  SELECT conv_id, 1, place, code, n FROM ids JOIN t USING (conv_id) WHERE place > h
+),
+seqs AS (
+  SELECT conv_id, coalesce(list(code ORDER BY own, place) FILTER (WHERE code IS NOT NULL), []) AS codes,
+         coalesce(list(n ORDER BY own, place) FILTER (WHERE code IS NOT NULL), []) AS ns
+  FROM ids LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+),
+nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(codes) AS codes,
+         any_value(CASE WHEN depth > 0 THEN ns[depth] ELSE 0 END) AS n,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(codes) = depth), '')) AS ends_sha256
+  FROM (SELECT conv_id, depth, codes, ns, sha256(coalesce(array_to_string(codes[1:depth], ''), '')) AS key,
+               sha256(coalesce(array_to_string(codes[1:depth - 1], ''), '')) AS up
+        FROM (SELECT *, unnest(range(0, len(codes) + 1)) AS depth FROM seqs))
+  GROUP BY key, depth
+),
+children AS (SELECT up AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (key, depth)),
+subtrees AS (
+  SELECT sha256(coalesce(array_to_string(codes[1:over], ''), '')) AS key, over AS depth,
+         count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * n) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS over FROM counted)
+  GROUP BY ALL
+)
+SELECT c.conv_id::BIGINT AS conv_id, c.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, c.n_convs::BIGINT AS n_convs,
+       c.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees USING (key, depth) LEFT JOIN counted p ON p.key = c.up AND p.depth = c.depth - 1
+"""
+
+ORACLE_SQL = {"op13_prefix_trie": OP13, "op5_warc_salvage": OP5, "op7_winnowing_decontamination": OP7}

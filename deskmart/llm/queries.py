@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.llm import decontamination, html_extraction, mixing, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, toxicity, warc
+from deskmart.llm import decontamination, html_extraction, mixing, prefix_trie, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, toxicity, warc
 from deskmart.llm.common import read
 
 
@@ -70,6 +70,10 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +87,6 @@ QUERIES = {
         op8_subset_sum_mixing,
         op9_counterfactual_toxicity,
         op10_randomness_secrets,
+        op13_prefix_trie,
     )
 }
