@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.llm import decontamination, html_extraction, mixing, prefix_trie, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, toxicity, warc
+from deskmart.llm import decontamination, html_extraction, mixing, prefix_trie, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, token_alignment, toxicity, warc
 from deskmart.llm.common import read
 
 
@@ -70,6 +70,15 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Folder of the public tokenizers' files.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_alignment.Tokenizers.load(f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_alignment.align_documents(read(spark, sf_dir, "documents"), files)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
 
@@ -87,6 +96,7 @@ QUERIES = {
         op8_subset_sum_mixing,
         op9_counterfactual_toxicity,
         op10_randomness_secrets,
+        op11_cross_tokenizer_alignment,
         op13_prefix_trie,
     )
 }
