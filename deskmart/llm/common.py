@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +72,37 @@ def let(value: Column, body) -> Column:
 def small(table: DataFrame, max_rows: int) -> DataFrame:
     """A staged table, marked for broadcast if it has at most ``max_rows`` rows; a larger one is joined by a shuffle."""
     return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+
+
+def frequent_floor(table: DataFrame, count: str, most: int) -> int:
+    """A bound that ``count`` reaches in at most ``most`` rows; found on a scale of eighths of powers of two, so few numbers reach the driver."""
+    step = F.floor(F.log2(count) * 8).cast("int")
+    seen, least = 0, None
+    for row in sorted(table.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        seen += row.rows
+        if seen > most:
+            break
+        least = row.step
+    return (1 << 62) if least is None else math.ceil(2 ** (least / 8) - 1e-6)
+
+
+def arrow_schema(spark: SparkSession, layout: str) -> pa.Schema:
+    """The Arrow schema of a Spark DDL string."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(spark.createDataFrame([], layout).schema)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Rows in the same order, in tables of about ``size`` bytes of text."""
+    waiting, held = [], 0
+    for batch in batches:
+        lengths, start = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(), 0
+        for i, length in enumerate(lengths):
+            if held and held + length > size:
+                yield pa.Table.from_batches([*waiting, batch.slice(start, i - start)])
+                waiting, held, start = [], 0, i
+            held += int(length)
+        waiting.append(batch.slice(start))
+    if waiting:
+        yield pa.Table.from_batches(waiting)

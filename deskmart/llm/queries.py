@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.llm import decontamination, html_extraction, mixing, prefix_trie, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, token_alignment, toxicity, warc
+from deskmart.llm import decontamination, html_extraction, mixing, prefix_trie, recurrent_lm, secrets, simhash_neardup, slot_sharding, suffix_dedup, syncmers, token_alignment, toxicity, warc
 from deskmart.llm.common import read
 
 
@@ -79,6 +79,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return token_alignment.align_documents(read(spark, sf_dir, "documents"), files)
 
 
+def op12_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
 
@@ -97,6 +101,7 @@ QUERIES = {
         op9_counterfactual_toxicity,
         op10_randomness_secrets,
         op11_cross_tokenizer_alignment,
+        op12_recurrent_lm,
         op13_prefix_trie,
     )
 }
