@@ -16,6 +16,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -24,9 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmart.llm.common import ship, stage
+from deskmart.llm.common import arrow_schema, chunks, frequent_floor, ship, stage
 
-CHUNK_BYTES = 6 << 20  # of text handled at once; a longer document is a chunk of its own
+CHUNK_BYTES = 12 << 20  # of text cut and encoded at once; a longer document is a chunk of its own
+ALIGNED_TOKENS = 400_000  # of the first vocabulary, aligned at once
+ENCODED = 20_000  # cuttings handed to a tokenizer at once
 PAIR_ROWS = 2_000_000  # of paired ids made at once
 KEPT_PAIRS = 1_000_000  # distinct pairs that a task counts before it hands them over
 HEAD_PAIRS = 1_000_000  # most frequent pairs, looked up from a broadcast table
@@ -100,9 +103,15 @@ def _built(kind: type, content: bytes):
     return made
 
 
-def _lists(values: list[list[int]]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array([x for v in values for x in v], pa.int32()))
+def _encoded(tokenizer: ByteLevel | Pieces, texts: list[str]) -> pa.ListArray:
+    """Lists of ids, made in parts so that the tokenizer's own records of a text do not pile up."""
+    parts = [pa.array([], pa.list_(pa.int32()))]
+    for i in range(0, len(texts), ENCODED):
+        lists = tokenizer.encode(texts[i : i + ENCODED])
+        offsets = np.concatenate([[0], np.cumsum([len(v) for v in lists])]).astype(np.int32)
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, offsets[-1])
+        parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)))
+    return pa.concat_arrays(parts)
 
 
 def cut(texts: pa.Array, at_spaces: bool) -> tuple[pa.Array, np.ndarray]:
@@ -122,28 +131,44 @@ def cut(texts: pa.Array, at_spaces: bool) -> tuple[pa.Array, np.ndarray]:
     return pc.binary_join(runs, " "), parent[start]
 
 
-def _tokens(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Per tokenizer the ids of all tokens and the index of their text; none for texts that the tokens do not spell."""
+@dataclass
+class Tokens:
+    """Tokens of consecutive texts per tokenizer: ids and the index of their text; none for texts that the tokens do not spell."""
+
+    once: tuple[pa.ListArray, pa.ListArray]  # ids of each distinct cutting
+    index: pa.Array  # the distinct cutting of each cutting
+    parent: np.ndarray  # its text
+
+    def slices(self, n: int) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
+        """First and last text, and the tokens between, in slices of about :data:`ALIGNED_TOKENS`; texts are counted from the first."""
+        made = np.concatenate([[0], np.cumsum(pc.list_value_length(self.once[0]).to_numpy()[self.index.to_numpy()])])
+        bounds = np.searchsorted(self.parent, np.arange(n + 1))
+        before, first = made[bounds], 0
+        while first < n:
+            last = max(first + 1, int(np.searchsorted(before, before[first] + ALIGNED_TOKENS, "right")) - 1)
+            low, high = bounds[first], bounds[last]
+            sides = []
+            for tokens in self.once:
+                taken = tokens.take(self.index.slice(low, high - low))
+                inner = pc.list_parent_indices(taken).to_numpy()
+                sides.append((taken.flatten().to_numpy(), self.parent[low:high][inner] - first))
+            yield first, last, sides
+            first = last
+
+
+def tokenize(texts: pa.Array, a: ByteLevel, b: Pieces) -> Tokens:
     cuttings, parent = cut(texts, a.cut_at_spaces and b.cut_at_spaces)
     coded = pc.dictionary_encode(cuttings)
-    once, index = coded.dictionary.to_pylist(), coded.indices
-    encoded = _lists(a.encode([" " + t for t in once])), _lists(b.encode(once))
-    spelt = pa.array([b" " + t.encode() for t in once], pa.binary())
-    lost = np.zeros(len(once), bool)
-    for side, tokens in zip((a, b), encoded, strict=True):
-        listed = pa.ListArray.from_arrays(tokens.offsets, side.bytes_of.take(tokens.values))
-        lost |= pc.not_equal(pc.binary_join(listed, b""), spelt).to_numpy(zero_copy_only=False)
-    out_of = np.zeros(len(texts), bool)
-    out_of[parent[lost[index.to_numpy()]]] = True  # the whole text has no tokens then
-    out_of |= pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    spaced = pc.binary_join_element_wise("", coded.dictionary, " ")
+    once = _encoded(a, spaced.to_pylist()), _encoded(b, coded.dictionary.to_pylist())
+    lost = np.zeros(len(spaced), bool)
+    for side, tokens in zip((a, b), once, strict=True):
+        spelt = pc.binary_join(pa.ListArray.from_arrays(tokens.offsets, side.bytes_of.take(tokens.values)), b"")
+        lost |= pc.not_equal(spelt, spaced.cast(pa.binary())).to_numpy(zero_copy_only=False)
+    out_of = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).copy()
+    out_of[parent[lost[coded.indices.to_numpy()]]] = True  # the whole text has no tokens then
     kept = ~out_of[parent]
-    index, parent = index.filter(pa.array(kept)), parent[kept]
-    found = []
-    for tokens in encoded:
-        taken = tokens.take(index)
-        inner = pc.list_parent_indices(taken).to_numpy()
-        found.append((taken.flatten().to_numpy(), parent[inner]))
-    return found[0], found[1]
+    return Tokens(once, coded.indices.filter(pa.array(kept)), parent[kept])
 
 
 def _token_ends(ids: np.ndarray, text: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -155,10 +180,14 @@ def _token_ends(ids: np.ndarray, text: np.ndarray, length: np.ndarray) -> np.nda
 
 
 def _groups(a_ends: np.ndarray, a_text: np.ndarray, b_ends: np.ndarray, b_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each token's group, counted over all texts: a group ends where tokens of both sides end."""
-    a = pa.table({"text": a_text, "end": a_ends, "a": np.arange(len(a_ends))})
-    b = pa.table({"text": b_text, "end": b_ends, "b": np.arange(len(b_ends))})
-    shared = a.join(b, ["text", "end"], join_type="inner", use_threads=False)
+    """Number of each token's group, counted over all texts: a group ends where tokens of both sides end.
+
+    The key of the join is the document and the byte in one number.
+    """
+    far = max(int(a_ends.max(initial=0)), int(b_ends.max(initial=0))) + 1
+    a = pa.table({"document_end": a_text * far + a_ends, "a": np.arange(len(a_ends))})
+    b = pa.table({"document_end": b_text * far + b_ends, "b": np.arange(len(b_ends))})
+    shared = a.join(b, "document_end", join_type="inner", use_threads=False)
     numbers = []
     for side, n in (("a", len(a_ends)), ("b", len(b_ends))):
         closes = np.zeros(n, np.int64)
@@ -167,39 +196,41 @@ def _groups(a_ends: np.ndarray, a_text: np.ndarray, b_ends: np.ndarray, b_text:
     return numbers[0], numbers[1]
 
 
-def _counted(group: np.ndarray, ids: np.ndarray, name: str) -> pa.Table:
-    counted = pa.table({"group": group, name: ids}).group_by(["group", name], use_threads=False).aggregate([(name, "count")])
-    return counted.rename_columns({f"{name}_count": f"n_{name}"})
+def _counted(group: np.ndarray, ids: np.ndarray, name: str, width: int) -> pa.Table:
+    """``group``, id and how often it stands there, by group."""
+    counted = pa.table({"key": group * width + ids}).group_by("key", use_threads=False).aggregate([("key", "count")]).sort_by("key")
+    key = counted["key"].to_numpy()
+    return pa.table({"group": key // width, name: key % width, f"n_{name}": counted["key_count"]})
 
 
-def _linked(a: pa.Table, b: pa.Table, text_of: np.ndarray, width: int) -> pa.Table:
+def _linked(a: pa.Table, b: pa.Table, text_of: np.ndarray, width: int) -> list[pa.Table]:
     """``text, pair, links`` of all ids that share a group; ``pair`` holds both ids. Made in pieces of at most :data:`PAIR_ROWS` rows."""
-    per_group = np.bincount(b["group"].to_numpy(), minlength=len(text_of))
-    a = a.sort_by("group")
-    made = np.cumsum(per_group[a["group"].to_numpy()])
+    groups, b_groups = a["group"].to_numpy(), b["group"].to_numpy()
+    made = np.cumsum(np.bincount(b_groups, minlength=len(text_of))[groups])
     pieces, start = [], 0
     while start < len(made):
         stop = max(start + 1, int(np.searchsorted(made, (made[start - 1] if start else 0) + PAIR_ROWS, "right")))
-        side = a.slice(start, stop - start)
-        low, high = side["group"][0].as_py(), side["group"][-1].as_py()
-        near = b.filter((pc.field("group") >= low) & (pc.field("group") <= high))
-        both = side.join(near, "group", join_type="inner", use_threads=False)
-        pairs = pa.table(
-            {
-                "text": text_of[both["group"].to_numpy()],
-                "pair": pc.add(pc.multiply(both["a"].cast(pa.int64()), width), both["b"].cast(pa.int64())),
-                "links": pc.multiply(both["n_a"], both["n_b"]),
-            }
-        )
-        pieces.append(_summed(pairs, ["text", "pair"], "links"))
+        low, high = np.searchsorted(b_groups, [groups[start], groups[stop - 1] + 1])
+        both = a.slice(start, stop - start).join(b.slice(low, high - low), "group", join_type="inner", use_threads=False)
+        pair = both["a"].to_numpy() * width + both["b"].to_numpy()
+        pieces.append(_summed(text_of[both["group"].to_numpy()], pair, pc.multiply(both["n_a"], both["n_b"])))
         start = stop
-    if not pieces:
-        return pa.table({"text": pa.array([], pa.int64()), "pair": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
-    return pieces[0] if len(pieces) == 1 else _summed(pa.concat_tables(pieces), ["text", "pair"], "links")
+    return pieces
+
+
+def _summed(text: np.ndarray, pair: np.ndarray, links: pa.Array | np.ndarray) -> pa.Table:
+    """``text, pair, links`` with one row per text and pair."""
+    far = int(pair.max(initial=0)) + 1
+    table = pa.table({"key": text * far + pair, "links": links}).group_by("key", use_threads=False).aggregate([("links", "sum")])
+    key = table["key"].to_numpy()
+    return pa.table({"text": key // far, "pair": key % far, "links": table["links_sum"]})
 
 
-def _summed(table: pa.Table, keys: list[str], value: str) -> pa.Table:
-    return table.group_by(keys, use_threads=False).aggregate([(value, "sum")]).rename_columns({f"{value}_sum": value}).select([*keys, value])
+def _merged(pieces: list[pa.Table]) -> pa.Table:
+    if len(pieces) == 1:
+        return pieces[0]
+    table = pa.concat_tables(pieces)
+    return _summed(*[table[c].to_numpy() for c in ("text", "pair", "links")])
 
 
 def _joined(names: pa.Array, sizes: np.ndarray, mark: str) -> pa.Array:
@@ -208,48 +239,45 @@ def _joined(names: pa.Array, sizes: np.ndarray, mark: str) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names), mark)
 
 
-def align(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple[pa.Table, pa.Table]:
-    """Per text ``n_a, n_b, n_groups, n_links, groups``, and ``text, pair, links`` with the numbers of the texts.
-
-    ``groups`` is written as ``a1,a2|b1;a3|b2,b3``.
-    """
-    texts, n = texts.fill_null(""), len(texts)
-    (a_ids, a_text), (b_ids, b_text) = _tokens(texts, a, b)
+def _aligned(sides: list[tuple[np.ndarray, np.ndarray]], n: int, a: ByteLevel, b: Pieces) -> tuple[pa.Table, pa.Table]:
+    (a_ids, a_text), (b_ids, b_text) = sides
     a_group, b_group = _groups(_token_ends(a_ids, a_text, a.length), a_text, _token_ends(b_ids, b_text, b.length), b_text)
     n_groups = int(a_group[-1]) + 1 if len(a_group) else 0
-    sizes = [np.bincount(g, minlength=n_groups) for g in (a_group, b_group)]
+    a_size, b_size = (np.bincount(g, minlength=n_groups) for g in (a_group, b_group))
     text_of = np.zeros(n_groups, np.int64)
     text_of[a_group] = a_text
     per_text = np.bincount(text_of, minlength=n)
-    sides = [_joined(s.name_of.take(pa.array(ids)), size, ",") for s, ids, size in ((a, a_ids, sizes[0]), (b, b_ids, sizes[1]))]
-    links = np.zeros(n, np.int64)
-    np.add.at(links, text_of, sizes[0] * sizes[1])
+    written = [_joined(s.name_of.take(pa.array(ids)), size, ",") for s, ids, size in ((a, a_ids, a_size), (b, b_ids, b_size))]
     told = pa.table(
         {
             "n_a": np.bincount(a_text, minlength=n).astype(np.int64),
             "n_b": np.bincount(b_text, minlength=n).astype(np.int64),
             "n_groups": per_text.astype(np.int64),
-            "n_links": links,
-            "groups": _joined(pc.binary_join_element_wise(*sides, "|"), per_text, ";"),
+            "n_links": np.bincount(text_of, a_size * b_size, minlength=n).astype(np.int64),
+            "groups": _joined(pc.binary_join_element_wise(*written, "|"), per_text, ";"),
         }
     )
-    return told, _linked(_counted(a_group, a_ids, "a"), _counted(b_group, b_ids, "b"), text_of, len(b.tokens))
+    # Groups of one token a side are links as they stand; in the others ids are counted before they are paired.
+    single = (a_size == 1) & (b_size == 1)
+    a_one, b_one, width = single[a_group], single[b_group], len(b.tokens)
+    plain = _summed(a_text[a_one], a_ids[a_one].astype(np.int64) * width + b_ids[b_one], np.ones(int(a_one.sum()), np.int64))
+    counted = [_counted(g[~one], ids[~one], c, len(s.tokens)) for g, ids, one, c, s in ((a_group, a_ids, a_one, "a", a), (b_group, b_ids, b_one, "b", b))]
+    return told, _merged([plain, *_linked(*counted, text_of, width)])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows in the same order, in tables of about :data:`CHUNK_BYTES` of text."""
-    waiting, size = [], 0
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy()
-        start = 0
-        for i, length in enumerate(lengths):
-            if size and size + length > CHUNK_BYTES:
-                yield pa.Table.from_batches([*waiting, batch.slice(start, i - start)])
-                waiting, size, start = [], 0, i
-            size += int(length)
-        waiting.append(batch.slice(start))
-    if waiting:
-        yield pa.Table.from_batches(waiting)
+def align(texts: pa.Array, a: ByteLevel, b: Pieces) -> tuple[pa.Table, pa.Table]:
+    """Per text ``n_a, n_b, n_groups, n_links, groups``, and ``text, pair, links`` with the numbers of the texts, in order.
+
+    ``groups`` is written as ``a1,a2|b1;a3|b2,b3``.
+    """
+    told, links = [], []
+    texts = texts.fill_null("")
+    for first, last, sides in tokenize(texts, a, b).slices(len(texts)):
+        numbers, pairs = _aligned(sides, last - first, a, b)
+        told.append(numbers)
+        pairs = pairs.sort_by("text")
+        links.append(pairs.set_column(0, "text", pc.add(pairs["text"], first)))
+    return pa.concat_tables(told), pa.concat_tables(links)
 
 
 def _align_partition(batches: Iterator[pa.RecordBatch], sent, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -266,19 +294,19 @@ def _align_partition(batches: Iterator[pa.RecordBatch], sent, schema: pa.Schema)
         lists = {f"counted_{c}": pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept[c].combine_chunks()) for c in ("pair", "docs")}
         return written(1, **lists)
 
-    for chunk in _chunks(batches):
+    for chunk in chunks(batches, CHUNK_BYTES):
         if not len(chunk):
             continue
         told, links = align(chunk["text"].combine_chunks(), a, b)
-        links = links.sort_by([("text", "ascending")])
         offsets = np.searchsorted(links["text"].to_numpy(), np.arange(len(chunk) + 1)).astype(np.int32)
         lists = {c: pa.ListArray.from_arrays(pa.array(offsets), links[c].combine_chunks()) for c in ("pair", "links")}
-        digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in told["groups"].to_pylist()]
+        digests = [hashlib.sha256(g.as_buffer()).hexdigest() if g.as_buffer().size else "" for g in told["groups"]]
         numbers = {c: told[c].combine_chunks() for c in ("n_a", "n_b", "n_groups", "n_links")}
         ids = {c: chunk[c].combine_chunks() for c in ("row", "doc_id")}
         yield written(len(chunk), **ids, **numbers, groups_sha256=pa.array(digests, pa.string()), **lists)
-        new = links.select(["pair"]).group_by("pair", use_threads=False).aggregate([("pair", "count")]).rename_columns({"pair_count": "docs"})
-        kept = _summed(pa.concat_tables([kept, new.select(["pair", "docs"])]), ["pair"], "docs")
+        seen = links.group_by("pair", use_threads=False).aggregate([("pair", "count")]).rename_columns({"pair_count": "docs"}).select(["pair", "docs"])
+        kept = pa.concat_tables([kept, seen]).group_by("pair", use_threads=False).aggregate([("docs", "sum")]).rename_columns({"docs_sum": "docs"})
+        kept = kept.select(["pair", "docs"])
         if len(kept) > KEPT_PAIRS:
             yield counts()
             kept = empty
@@ -286,18 +314,6 @@ def _align_partition(batches: Iterator[pa.RecordBatch], sent, schema: pa.Schema)
         yield counts()
 
 
-def _frequent(counted: DataFrame, most: int) -> int:
-    """A count that at most ``most`` pairs reach; found on a scale of eighths of powers of two, so few numbers reach the driver."""
-    step = F.floor(F.log2("docs") * 8).cast("int")
-    seen, least = 0, None
-    for row in sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True):
-        seen += row["count"]
-        if seen > most:
-            break
-        least = row.step
-    return (1 << 62) if least is None else int(np.ceil(2 ** (least / 8) - 1e-6))
-
-
 def align_documents(docs: DataFrame, tokenizers: Tokenizers, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     """Groups and links of the tokens of each row of ``docs(doc_id, text)``.
 
@@ -318,7 +334,7 @@ def align_documents(docs: DataFrame, tokenizers: Tokenizers, head_pairs: int = H
         f"row long, doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
         "pair array<long>, links array<long>, counted_pair array<long>, counted_docs array<long>"
     )
-    schema = _arrow_schema(spark, layout)
+    schema = arrow_schema(spark, layout)
     found = stage(rows.mapInArrow(lambda batches: _align_partition(batches, sent, schema), layout), "alignment")
     own = found.filter("row is not null")
 
@@ -330,7 +346,7 @@ def align_documents(docs: DataFrame, tokenizers: Tokenizers, head_pairs: int = H
     counted = stage(
         counted.withColumn("a", a_id).join(F.broadcast(highest), "a").select("pair", "docs", (F.col("docs") == F.col("highest")).alias("best")), "alignment-best"
     )
-    head = counted.filter(F.col("docs") >= _frequent(counted, head_pairs))
+    head = counted.filter(F.col("docs") >= frequent_floor(counted, "docs", head_pairs))
 
     links = own.select("row", F.explode(F.arrays_zip("pair", "links")).alias("l")).select("row", "l.pair", "l.links")
     sums = [F.sum(F.col("links") * F.col("docs")).alias("count_sum"), F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best")]
@@ -350,8 +366,3 @@ def align_documents(docs: DataFrame, tokenizers: Tokenizers, head_pairs: int = H
         "groups_sha256",
     )
 
-
-def _arrow_schema(spark, layout: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(spark.createDataFrame([], layout).schema)

@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -101,6 +102,7 @@ def test_alignment(spark, make_docs, rows, files, whole, monkeypatch, chunk, pai
 
     def small_parts(batches, sent, schema):
         token_alignment.CHUNK_BYTES, token_alignment.PAIR_ROWS, token_alignment.KEPT_PAIRS = chunk, pair_rows, 100 * pair_rows
+        token_alignment.ALIGNED_TOKENS, token_alignment.ENCODED = chunk // 4, 100
         return inner(batches, sent, schema)
 
     monkeypatch.setattr(token_alignment, "_align_partition", small_parts)
@@ -116,7 +118,7 @@ def test_cutting_keeps_tokens(files, whole):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(400)]
     a, b = token_alignment._built(token_alignment.ByteLevel, files.first), token_alignment._built(token_alignment.Pieces, files.second)
     assert a.cut_at_spaces and b.cut_at_spaces
-    (a_ids, a_text), (b_ids, b_text) = token_alignment._tokens(pa.array(texts), a, b)
+    ((_, _, ((a_ids, a_text), (b_ids, b_text))),) = token_alignment.tokenize(pa.array(texts), a, b).slices(len(texts))
     for i, text in enumerate(texts):
         first, first_bytes, second, second_bytes = whole(text)
         told = (" " + text).encode()
@@ -127,12 +129,10 @@ def test_cutting_keeps_tokens(files, whole):
 
 def test_one_group_of_many_tokens(files):
     """Ids that share one long group are counted before they are paired."""
-    text_of, n = [0], 3000
-    a = token_alignment._counted([0] * n, [i % 7 for i in range(n)], "a")
-    b = token_alignment._counted([0] * n, [i % 5 for i in range(n)], "b")
-    import numpy as np
-
-    linked = token_alignment._linked(a, b, np.array(text_of), 10)
+    n = 3000
+    a = token_alignment._counted(np.zeros(n, np.int64), np.arange(n) % 7, "a", 10)
+    b = token_alignment._counted(np.zeros(n, np.int64), np.arange(n) % 5, "b", 10)
+    linked = token_alignment._merged(token_alignment._linked(a, b, np.zeros(1, np.int64), 10))
     assert len(linked) == 35 and sum(linked["links"].to_pylist()) == n * n
 
 
