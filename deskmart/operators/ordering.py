@@ -41,6 +41,35 @@ def number_rows(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFra
     return _after(fixed, F.lit(1)).withColumn(name, F.col("_before") + place + 1).drop("_id", "_before")
 
 
+def row_key(*columns: str) -> Column:
+    """A text that tells the values of ``columns`` apart, NULLs included, and is never NULL itself.
+
+    Ids that may be NULL make a poor join key: equality loses them, and a null-safe join hashes two expressions per
+    column, which no window or aggregate shares. A digest of 128 bits serves joins, windows and groups alike.
+    """
+    told = [F.col(c).cast("string") for c in columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in told]))
+
+
+def number_in_groups(df: DataFrame, key: str, order_by: Sequence[Column], name: str) -> DataFrame:
+    """Number the rows 1..n of each ``key`` in ``order_by`` order, also where a key holds more rows than a task should.
+
+    The rows are sorted by key and order, which cuts a large key over several partitions. Each (key, partition) is a
+    piece whose rows have consecutive ids, so a row's number is the sizes of the pieces before it and its distance from the first row of its own.
+    There are at most as many pieces as keys and partitions together: meant for the few keys that are large.
+    Rows that ``order_by`` leaves alike are ordered as by :func:`number_rows`.
+    """
+    whole = F.xxhash64(*df.columns)
+    ordered = df.withColumn("_from", F.spark_partition_id()).orderBy(key, *order_by, whole, "_from").drop("_from")
+    fixed = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_id", _LOCAL_ROW_BITS)
+    pieces = fixed.groupBy(F.col(key).alias("_of"), part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_id").alias("_first_id"))
+    earlier = Window.partitionBy("_of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("_of", "_part", "_first_id", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = fixed.join(F.broadcast(pieces), (F.col(key) == F.col("_of")) & (part == F.col("_part")))
+    return joined.withColumn(name, F.col("_before") + F.col("_id") - F.col("_first_id") + 1).drop("_id", "_of", "_part", "_first_id", "_before")
+
+
 def rows_before(groups: DataFrame, order_by: Sequence[str], count: str, name: str) -> DataFrame:
     """Attach to each of distinct ``groups`` the sum of ``count`` over the groups before it in ``order_by`` order, NULLs last."""
     by = [F.asc_nulls_last(c) for c in order_by]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -23,7 +24,7 @@ from deskmart.operators.contacts import opportunity_emails, sale_emails
 from deskmart.operators.discounts import sale_discounts
 from deskmart.operators.free_months import free_months, monthly_rate
 from deskmart.operators.occupancy import current_occupancy, forward_occupancy, forward_occupancy_by_sku
-from deskmart.operators.ordering import rows_before
+from deskmart.operators.ordering import number_in_groups, row_key, rows_before
 from deskmart.operators.population import (
     CLOSING_ACTIVITIES,
     NOT_SUBLEASE,
@@ -34,7 +35,7 @@ from deskmart.operators.population import (
     reported_sale,
     reported_territories,
 )
-from deskmart.operators.promos import latest_promo, note_tags, promo_label
+from deskmart.operators.promos import latest_promo, note_tags, promo_label, with_code_outcome
 from deskmart.operators.rates import monthly_rates, vat_factors
 from deskmart.operators.relocation import relocation_deals
 from deskmart.operators.sizing import materialize, measured, together
@@ -58,15 +59,16 @@ def with_latest_promo(deals: DataFrame, promos: DataFrame, hot: HotKeys | None =
     """Attach the code of the commitment that a sale created.
 
     A sale reported after its commitment began gets none: its start is blanked in
-    the key, which keeps the join a hash join. ``promos`` are latest-promo rows;
-    several of them per commitment multiply the sale.
+    the key, which keeps the join a hash join. ``promos`` are latest-promo rows, with the
+    outcome of their codes or without; several of them per commitment multiply the sale.
     """
     term = {
         RES: F.col("reservation_uuid"),
         "_start": F.col("commitment_term_start_utc").cast("timestamp_ntz"),
         "_end": F.col("commitment_term_end_utc").cast("timestamp_ntz"),
     }
-    right = promos.select(*[c.alias(n) for n, c in term.items()], "applied_discount")
+    told = [c for c in ("applied_discount", "_code_rule") if c in promos.columns]
+    right = promos.select(*[c.alias(n) for n, c in term.items()], *told)
     begins_later = F.col(MONTH) <= F.col("resulting_commitment_term_start")
     rows = deals.withColumns(
         {
@@ -95,7 +97,9 @@ def resulting_desks():
 
 # Counted for hot values; a join may use one of them that covers some of its columns.
 _SALE, _SPACE_DAY = (RES, DEAL, MONTH), ("reservable_uuid", "initial_sale_date")
-_JOIN_KEYS = [(DEAL,), (RES,), (RES, DEAL), (RES, MONTH), _SALE, ("salesforce_opportunity_id",), _SPACE_DAY, (MONTH, "currency")]
+# Ids may be NULL; where rows of a sale have to find each other, this digest of the three stands for them.
+SALE = "_sale"
+_JOIN_KEYS = [(DEAL,), (RES,), (RES, DEAL), (RES, MONTH), _SALE, (SALE,), (MONTH, DEAL), ("salesforce_opportunity_id",), _SPACE_DAY, (MONTH, "currency")]
 
 # What the lookups of a sale depend on; few columns next to the width of a sale.
 LOOKUP_KEY = [
@@ -119,6 +123,7 @@ LOOKUPS = [
     "vat_adjust_factor",
     "_note_rule",
     "applied_discount",
+    "_code_rule",
     "_note",
     "reason_for_exclusion",
     "_listed",
@@ -180,21 +185,31 @@ NARROW = [
 ]
 
 
+@dataclass(frozen=True)
+class Joined:
+    """Sales with everything joined: those whose ids are in few rows, those whose ids are hot (None without such), all with few columns of their own."""
+
+    rows: DataFrame
+    large: DataFrame | None
+    slim: DataFrame
+    hot: HotKeys
+
+
 def _joined_sales(
     roles: Roles, brand: Brand, as_of: date | None, rules: Sequence[PromoRule], rows_per_task: int | None,
     months: tuple[date, date] | None,
-) -> tuple[DataFrame, DataFrame, HotKeys]:
-    """The sales with everything joined, the same with few columns of their own, and the hot keys.
+) -> Joined:
+    """The sales with everything joined.
 
     Filters and the joins to small tables leave the wide rows in place; the lookups
-    then arrive in one join, for which sales and lookups are dealt out by the ids of a sale, which are never NULL.
+    then arrive in one join, for which sales and lookups are dealt out by the digest of a sale's ids, any of which may be NULL.
     """
 
     def sold(deals: DataFrame) -> DataFrame:
         kept = deals.filter(reported_sale(brand))
         if months is not None:
             kept = kept.filter(F.col(MONTH).between(F.lit(months[0]), F.lit(months[1])))
-        return kept.withColumn("term", discount_term_bucket("resulting_commitment_term_months"))
+        return kept.withColumns({"term": discount_term_bucket("resulting_commitment_term_months"), SALE: row_key(*_SALE)})
 
     active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
     # Independent, and each much narrower than what it reads: computed side by side, then joined.
@@ -219,12 +234,13 @@ def _joined_sales(
     )
     ahead, hot, free, discounts = together(
         lambda: measured(forward_occupancy(by_sku).drop("location_name")),
-        lambda: HotKeys.find(deals, _JOIN_KEYS, rows_per_task),
+        lambda: HotKeys.find(deals.withColumn(SALE, row_key(*_SALE)), _JOIN_KEYS, rows_per_task),
         lambda: materialize(free_months(roles.records, monthly_rate(deals, brand)).drop("MRR")),
         lambda: materialize(sale_discounts(sold(deals), roles.discount_versions, hot_versions)),
     )
     mails = opportunity_emails(roles.opportunities, roles.team_members, roles.users)
     mails = sale_emails(deals, mails, hot).drop("salesforce_opportunity_id")
+    promos = with_code_outcome(promos, rules)
     lookups = materialize(sale_lookups(sold(deals), roles, hot, free, mails, discounts, promos, tags, moved, notes))
 
     ahead_by_sku = by_sku.select("location_uuid", "sku", "SKU_occ", "SKU_capacity")
@@ -232,7 +248,7 @@ def _joined_sales(
         F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
     )
     others = [c for c in LOOKUP_KEY if c not in _SALE]
-    found = lookups.withColumnsRenamed({c: f"_of_{c}" for c in others})
+    found = lookups.withColumn(SALE, row_key(*_SALE)).drop(*_SALE).withColumnsRenamed({c: f"_of_{c}" for c in others})
 
     def told(rows: DataFrame) -> DataFrame:
         rows = hot.left_join(rows.join(buildings, "location_uuid"), rates, [MONTH, "currency"])
@@ -241,12 +257,17 @@ def _joined_sales(
         rows = rows.join(now, [MONTH, "location_uuid"], "left")
         # Every sale has a lookup row, unless an exclusion removed it.
         same_key = agree(others, [f"_of_{c}" for c in others])
-        rows = hot.join(rows, found.hint("merge"), list(_SALE), "inner", residual=same_key)
+        rows = hot.join(rows, found.hint("merge"), [SALE], "inner", residual=same_key)
         rows = rows.drop(*[f"_of_{c}" for c in others]).withColumn("resulting_desks", resulting_desks())
         extra = F.when(F.col("_relocated"), 1).otherwise(0)
         return rows.withColumn("gross_desk_sales_mod", F.col("gross_desk_sales") + extra).filter("gross_desk_sales_mod > 0")
 
-    return told(sold(roles.deals)), told(sold(deals)), hot
+    wide = sold(roles.deals)
+    large = hot.tables.get((SALE,))
+    if large is None:
+        return Joined(told(wide), None, told(sold(deals)), hot)
+    keys = large.select(SALE)
+    return Joined(told(wide.join(keys, SALE, "left_anti")), told(wide.join(keys, SALE, "left_semi")), told(sold(deals)), hot)
 
 
 def sales_rows(
@@ -258,23 +279,30 @@ def sales_rows(
     months: tuple[date, date] | None = None,
 ) -> DataFrame:
     """The filtered sales with everything joined but the text of the notes, before totals and numbering."""
-    return _joined_sales(roles, brand, as_of, rules, rows_per_task, months)[0]
+    joined = _joined_sales(roles, brand, as_of, rules, rows_per_task, months)
+    rows = joined.rows if joined.large is None else joined.rows.unionByName(joined.large)
+    return rows.drop(SALE)
 
 
-def with_numbers(rows: DataFrame, slim: DataFrame) -> DataFrame:
+def with_numbers(joined: Joined) -> DataFrame:
     """``Row_Number`` of each sale, and ``deal_capacity``, the desks of its deal and month.
 
-    ``slim`` are the same rows with few columns. Both results follow from their (month, deal, reservation) groups: rows are
-    counted and desks summed, and running totals in report order say where a group starts. Only the places inside a group need the sales themselves, and
-    the groups lie where the join with the lookups has left them.
+    Both follow from the (month, deal, reservation) groups of the slim rows: rows are counted and desks summed, and
+    running totals in report order say where a group starts. Only the places inside a group need the sales themselves. The
+    groups lie where the join with the lookups has left them, so a window finds the places; a group too large for a task is sorted by
+    range and numbered in pieces.
     """
-    groups = slim.groupBy(*_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
+    groups = joined.slim.groupBy(SALE, *_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
     groups = rows_before(groups, [MONTH, DEAL, RES], "_rows", "_first")
     totals = groups.groupBy(MONTH, DEAL).agg(F.sum("_desks").alias("deal_capacity"))
-    places = groups.join(totals, [MONTH, DEAL]).select(*_SALE, "_first", "deal_capacity")
-    place = F.row_number().over(Window.partitionBy(*_SALE).orderBy(*[F.asc_nulls_last(c) for c in NUMBER_ORDER]))
-    numbered = rows.withColumn("_place", place).join(places.hint("merge"), list(_SALE))
-    return numbered.withColumn("Row_Number", F.col("_first") + F.col("_place")).drop("_first", "_place")
+    places = joined.hot.join(groups, totals, [MONTH, DEAL], "inner", null_safe=True).select(SALE, "_first", "deal_capacity")
+    order = [F.asc_nulls_last(c) for c in NUMBER_ORDER]
+    placed = joined.rows.withColumn("_place", F.row_number().over(Window.partitionBy(SALE).orderBy(*order)))
+    numbered = placed.join(places.hint("merge"), SALE)
+    if joined.large is not None:
+        few = places.join(joined.hot.tables[(SALE,)].select(SALE), SALE, "left_semi")  # a row per hot group
+        numbered = numbered.unionByName(number_in_groups(joined.large, SALE, order, "_place").join(F.broadcast(few), SALE))
+    return numbered.withColumn("Row_Number", F.col("_first") + F.col("_place")).drop("_first", "_place", SALE)
 
 
 def sales_mart(
@@ -291,8 +319,8 @@ def sales_mart(
     the report this reproduces; ``quality.duplicates`` shows them. ``months`` (first and last) limits the
     sales, whose numbers then start at 1.
     """
-    rows, slim, hot = _joined_sales(roles, brand, as_of, rules, rows_per_task, months)
-    rows = with_numbers(rows, slim)
+    joined = _joined_sales(roles, brand, as_of, rules, rows_per_task, months)
+    rows, hot = with_numbers(joined), joined.hot
     texts = roles.reservations.select(F.col("uuid").alias(RES), "notes", F.md5("notes").alias("_digest")).distinct()
     rows = hot.left_join(rows, texts.hint("merge"), [RES], residual=agree(["_note"], ["_digest"])).drop("_digest")
     months = "resulting_commitment_term_months"
@@ -364,7 +392,7 @@ def sales_mart(
         "email_list",
         "applied_discount",
         promo_label(
-            F.coalesce("_relocated", F.lit(False)), F.col("applied_discount"), F.col("_note_rule"), rules
+            F.coalesce("_relocated", F.lit(False)), F.col("_code_rule"), F.col("_note_rule"), rules
         ).alias("promo_applied"),
         "notes",
         "gross_desk_sales_mod",

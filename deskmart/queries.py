@@ -29,9 +29,11 @@ from deskmart.operators import (
     relocation,
     renewals,
 )
+from deskmart.operators.sizing import materialize, scratch
 from deskmart.operators.skew import HotKeys
 from deskmart.plans import inventory_mart as inventory
 from deskmart.plans import sales_mart as sales
+from deskmart.sources import sinks
 from deskmart.sources.adapter import ONE_BLOCK, LazyRoles
 
 AS_OF = date(2023, 3, 15)
@@ -199,9 +201,10 @@ def promo_applied(r):
     tags = promos.note_tags(r.reservations).select(
         F.col("uuid").alias("primary_reservation_uuid"), F.col("created_month").alias("sales_reporting_month"), "rule"
     )
-    rows = sales.with_latest_promo(r.deals, promos.latest_promo(_active(r)))
+    latest = promos.with_code_outcome(materialize(promos.latest_promo(_active(r))))
+    rows = sales.with_latest_promo(r.deals, latest)
     rows = rows.join(moved, "deal_uuid", "left").join(tags, ["primary_reservation_uuid", "sales_reporting_month"], "left")
-    label = promos.promo_label(F.coalesce("_moved", F.lit(False)), F.col("applied_discount"), F.col("rule"))
+    label = promos.promo_label(F.coalesce("_moved", F.lit(False)), F.col("_code_rule"), F.col("rule"))
     return rows.select(*SALE, "applied_discount", label.alias("promo_applied"))
 
 
@@ -574,6 +577,20 @@ def dq_exclusions(r):
     return sold.union(held)
 
 
+@query
+def dq_written_marts(r):
+    """The checks of both marts, taken while each is written once."""
+    told = [
+        sinks.write_by_month(
+            sales.sales_rows(r, BRAND, AS_OF), scratch(r.exclusions.sparkSession), SALE[0], checks=quality.sales_checks(r.exclusions, population.SALES_START)
+        ),
+        sinks.write_by_month(
+            inventory.inventory_rows(r), scratch(r.exclusions.sparkSession), "report_month", checks=quality.inventory_checks(r.exclusions, population.INVENTORY_START)
+        ),
+    ]
+    return told[0].union(told[1])
+
+
 # --- marts -------------------------------------------------------------------
 
 

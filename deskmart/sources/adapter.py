@@ -110,7 +110,8 @@ ROLE_SQL: dict[str, str] = {
           join {{supplier}} on l_suppkey = s_suppkey join {{part}} on l_partkey = p_partkey""",
     "deals": f"""
         select {_month('o_orderdate')} as sales_reporting_month,
-          {_id('D', 'l_orderkey')} as deal_uuid, {_RESERVATION} as primary_reservation_uuid,
+          case when l_orderkey % 31 = 7 then null else {_id('D', 'l_orderkey')} end as deal_uuid,
+          case when (l_orderkey + l_linenumber) % 17 = 3 then null else {_RESERVATION} end as primary_reservation_uuid,
           case when l_orderkey % 13 = 0 then null else {_id('O', 'l_orderkey')} end
             as salesforce_opportunity_id,
           {_id('P', 'l_partkey')} as reservable_uuid, {_id('L', 's_nationkey')} as location_uuid,

@@ -79,7 +79,7 @@ def test_wide_sales_move_once_for_lookups_and_numbers_and_texts_once(roles, no_b
     """One exchange for the small building table, which this test keeps from being broadcast; see README."""
     mart = sales.sales_mart(roles, Q.BRAND, Q.AS_OF)
     assert exchanges(mart, "notes") == 2  # to find copies of a note, and for its own join
-    rows = sales.with_numbers(*sales._joined_sales(roles, Q.BRAND, Q.AS_OF, PROMO_RULES, None, None)[:2])
+    rows = sales.with_numbers(sales._joined_sales(roles, Q.BRAND, Q.AS_OF, PROMO_RULES, None, None))
     assert exchanges(rows, "city") == 2  # buildings, then lookups and numbers together
 
 
