@@ -64,6 +64,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(right, condition, how).drop(*[f"_right_{c}" for c in on])
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row; maps, which have no hash of their own, count as their JSON."""
+    plain = [c if "map<" not in kind else None for c, kind in df.dtypes]
+    told = [F.col(f"`{c}`") if c == p else F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) for c, p in zip(df.columns, plain, strict=True)]
+    return F.xxhash64(*told)
+
+
 def let(value: Column, body) -> Column:
     """``body(x)`` with ``x`` computed once, however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]

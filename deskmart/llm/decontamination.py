@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import PandasUDFType
 
 SPAN = 13
 GRAM = 5
@@ -154,7 +154,33 @@ def benchmark_blocks(benchmark: DataFrame, span: int, gram: int, block_words: in
         yield BenchmarkBlock.build(block, span, gram)
 
 
-_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+_FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _with_overlaps(docs: DataFrame, benchmark: DataFrame, name: str, span: int, gram: int, block_words: int) -> DataFrame:
+    """``docs`` and the struct ``name`` of what :func:`find_overlaps` tells; only texts and results pass through Python."""
+    context = docs.sparkSession.sparkContext
+    out = docs.withColumn(name, F.lit(None).cast(f"struct<{_FOUND.replace(' long', ':long').replace(' array', ':array')}>"))
+    blocks = [context.broadcast(b) for b in benchmark_blocks(benchmark, span, gram, block_words)]
+    for index in blocks or [context.broadcast(BenchmarkBlock(span, gram))]:
+
+        def scan(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]], index=index) -> Iterator[pd.DataFrame]:
+            for texts, items, spans in parts:
+                rows = [_overlap(index.value, t, i, s) for t, i, s in zip(texts, items, spans, strict=True)]
+                yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"]).astype({"n_words": "int64", "n_hit": "int64"})
+
+        # Not to be computed again for a filter on its result.
+        found = F.pandas_udf(scan, _FOUND, PandasUDFType.SCALAR_ITER).asNondeterministic()
+        out = out.withColumn(name, found(F.col("text").cast("string"), F.col(name)["items"], F.col(name)["spans"]))
+    return out
 
 
 def find_overlaps(
@@ -165,29 +191,20 @@ def find_overlaps(
     Added, named with ``prefix``: ``n_words``, ``n_hit`` (words inside shared spans), ``items`` (their ids
     as strings, sorted), ``spans`` (merged runs of hit words: start, end). A NULL text has no words and no hits, nor has a
     NULL or empty item; items without an id give hits, but no entry in ``items``. Repeated rows give repeated rows, repeated items count once.
-    Columns of ``docs`` that bear an added name are replaced.
+    Columns of ``docs`` that bear an added name are replaced; all others stay as they are, whatever their types.
     """
     names = {n: prefix + n for n in ("n_words", "n_hit", "items", "spans")}
-    out = docs.drop(*names.values())
-    out = (
-        out.withColumn(names["n_words"], F.lit(0).cast("long"))
-        .withColumn(names["n_hit"], F.lit(0).cast("long"))
-        .withColumn(names["items"], F.lit(None).cast("array<string>"))
-        .withColumn(names["spans"], F.lit(None).cast(_SPANS))
-    )
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(b) for b in benchmark_blocks(benchmark, span, gram, block_words)]
-    for index in blocks or [context.broadcast(BenchmarkBlock(span, gram))]:
+    rest = docs.drop(*names.values())
+    found = _free_name(rest, "_overlaps")
+    out = _with_overlaps(rest, benchmark, found, span, gram, block_words)
+    return out.select(*rest.columns, *[F.col(found)[n].alias(name) for n, name in names.items()])
 
-        def scan(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = [_overlap(index.value, t, i, s) for t, i, s in zip(batch["text"], batch[names["items"]], batch[names["spans"]], strict=True)]
-                for at, name in enumerate(names.values()):
-                    batch[name] = pd.Series([r[at] for r in rows], index=batch.index, dtype="int64" if at < 2 else object)
-                yield batch
 
-        out = out.mapInPandas(scan, out.schema)
-    return out
+def keep_clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that are not :func:`contaminated`, with the columns of ``docs`` as they are."""
+    found = _free_name(docs, "_overlaps")
+    out = _with_overlaps(docs, benchmark, found, span, gram, block_words)
+    return out.filter(~contaminated(F.col(found)["n_hit"], F.col(found)["n_words"])).drop(found)
 
 
 def _overlap(index: BenchmarkBlock, text: str | None, items, spans) -> tuple[int, int, list[str], list[dict]]:

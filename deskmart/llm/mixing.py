@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deskmart.llm.common import null_safe_join, stage
+from deskmart.llm.common import content_hash, null_safe_join, stage
+from deskmart.llm.slot_sharding import number_copies
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -114,21 +115,20 @@ def mix(
 
     Returns ``doc_id, size, source_size, target, taken, copies``: ``copies`` (0 to ``max_repeat``) times ``size``
     words of the document are taken. NULL texts have no words; they and documents without words are taken no time.
-    A NULL source is a source of its own. Repeated rows are documents of their own; as they share a hash, which of them is
-    taken first does not show. An empty table gives no rows; further columns are ignored.
+    A NULL source is a source of its own. Repeated rows are documents of their own, told apart by their number. An empty
+    table gives no rows; further columns are ignored.
 
-    Groups of one source and length are ranked by seeded hash in ``BUCKETS`` parts, so a group with a third of all rows
-    is never ranked by one task.
+    Groups of one source and length are ranked by a seeded hash of id, text and number in ``BUCKETS`` parts, so neither a group with a third of all rows nor
+    an id or a text that many rows share is ranked by one task. Targets are computed on one row per source; sources are taken to be few.
     """
     words = F.regexp_count(F.coalesce(docs["text"], F.lit("")), F.lit(WORD)).cast("long")
-    order = F.xxhash64(F.lit(seed), docs["doc_id"])
+    numbered = number_copies(
+        docs.select(docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"), words.alias("size"), F.xxhash64(docs["text"]).alias("_text"))
+    )
+    order = F.xxhash64(F.lit(seed), "doc_id", "_text", "copy")
     rows = stage(
-        docs.select(
-            docs["doc_id"].alias("doc_id"),
-            docs["source"].cast("string").alias("source"),
-            words.alias("size"),
-            order.alias("_order"),
-            F.pmod(F.shiftrightunsigned(order, 40), F.lit(BUCKETS)).cast("int").alias("_bucket"),
+        numbered.select(
+            "doc_id", "source", "size", order.alias("_order"), F.pmod(F.shiftrightunsigned(order, 40), F.lit(BUCKETS)).cast("int").alias("_bucket")
         ),
         "mix",
     )
@@ -167,7 +167,7 @@ def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[docs[c].alias(n) for c, n in names.items()])
-    key, whole = F.col(names["doc_id"]), F.xxhash64(*[F.col(n) for n in names.values()])
+    key, whole = F.col(names["doc_id"]), content_hash(rows)
     marked = rows.select(F.struct(key.alias("doc_id"), whole.alias("h")).alias("doc_id"), F.col(names["source"]).alias("source"), F.col(names["text"]).alias("text"))
     taken = mix(marked, **options).filter("copies > 0").select("doc_id.doc_id", "doc_id.h", "copies")
     # Rows that agree in every column are one group here, with the sum of their copies.

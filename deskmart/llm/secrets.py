@@ -119,12 +119,15 @@ def score(token: str) -> float:
 
 
 def candidates(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int, int, int, float, int]]:
-    """Runs of key characters that no span in ``taken`` touches: start, end, length class, score, hash without the padding."""
+    """Runs of key characters that no span in ``taken`` (by start) touches: start, end, length class, score, hash without the padding."""
     if not LONG.search(text):
         return []
-    found = []
+    found, at, far = [], 0, 0
     for m in CANDIDATE.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, _, b in taken):
+        # Both come by start: `far` is the farthest end of the spans that start before this run ends.
+        while at < len(taken) and taken[at][0] < m.end():
+            far, at = max(far, taken[at][2]), at + 1
+        if far <= m.start():
             body = m.group().rstrip("=")
             own = int.from_bytes(hashlib.blake2b(body.encode(), digest_size=8).digest(), "little", signed=True)
             found.append((m.start(), m.end(), int(np.searchsorted(CLASSES, len(body), "right")) - 1, score(body), own))
@@ -235,7 +238,8 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     repeated rows gets its own result and counts in the letter pairs; an empty table gives no rows; further columns are ignored.
     """
     spans = "array<struct<start:long,kind:string,end:long>>"
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base {spans}, tested array<struct<start:long,end:long,class:int,score:double,hash:long>>, pairs array<long>"
+    # Ids go through Python as text: pandas would turn numbers next to a NULL into floats.
+    schema = f"doc_id string, base {spans}, tested array<struct<start:long,end:long,class:int,score:double,hash:long>>, pairs array<long>"
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -250,7 +254,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
             yield out
             yield pd.DataFrame({"doc_id": [None], "base": [None], "tested": [None], "pairs": [pairs.tolist()]})
 
-    found = stage(docs.select("doc_id", "text").mapInPandas(scan, schema), "secrets")
+    found = stage(docs.select(docs["doc_id"].cast("string").alias("doc_id"), "text").mapInPandas(scan, schema), "secrets")
     counted = found.filter("pairs is not null").select(F.posexplode("pairs").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n"))
     pairs = np.zeros(729)
     for row in counted.collect():  # 729 rows at most
@@ -283,7 +287,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
         left, right = F.struct(a["start"], order[a["kind"]]), F.struct(b["start"], order[b["kind"]])
         return F.when(left < right, -1).when(left > right, 1).otherwise(0)
 
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", extra), before).alias("spans"))
+    return rows.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "base", F.array_sort(F.concat("base", extra), before).alias("spans"))
 
 
 def digest(spans):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmart.llm.common import stage
+from deskmart.llm.common import content_hash, stage
 
 BITS = 64
 SEGMENT = 2
@@ -275,7 +275,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # own names cannot clash
     rows = docs.select(*[docs[c].alias(n) for c, n in names.items()])
     key, text = F.col(names["doc_id"]), F.col(names["text"])
-    whole = F.xxhash64(*[F.col(n) for n in names.values()])
+    whole = content_hash(rows)
     marks = stage(rows.select(key.alias("doc_id"), whole.alias("h"), text.alias("text")).select("doc_id", "h", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash")
     of = label_fingerprints(marks.select("doc_id", "fp"), distance, axes).select("fp", "label")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "h")

@@ -156,8 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     """Fit on a sample of rows of ``docs(doc_id, text)`` with a label in ``labels(doc_id, toxic)``, held-out ones left out.
 
     The sample has at most ``sample_rows`` whole texts, half of them toxic if there are as many, and of these, in the order of a hash
-    of their ids, as many as have ``sample_chars`` characters together. Rows with a NULL label or id teach nothing; of an id with
-    several labels the largest counts.
+    of their ids, each that ``sample_chars`` characters still have room for. Rows with a NULL label or id teach nothing; of an id with
+    several labels the largest counts, of one with several texts that with the smallest hash, so the order of the rows does not matter.
     """
     marks = labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -167,15 +167,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
         part = marks.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(sample_rows // 2)
         picked = part if picked is None else picked.union(part)
     # At most `sample_rows` ids: the bound of this broadcast is the parameter.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
-    rows = stage(rows.select(order.alias("place"), "doc_id", "text", "toxic"), "toxicity-sample")
-    total, last = 0, None
-    for r in rows.select("place", F.char_length("text").alias("n")).orderBy("place").collect():
-        total += r.n or 0
-        if total > sample_chars:
-            break
-        last = r.place
-    taken = [] if last is None else rows.filter(F.col("place") <= last).orderBy("place", "doc_id").collect()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("first")
+    rows = rows.groupBy("doc_id").agg(first).select(order.alias("place"), "doc_id", "first.text", "first.toxic")
+    rows = stage(rows, "toxicity-sample")
+    total, kept = 0, []
+    for r in rows.select("place", "doc_id", F.char_length("text").alias("n")).orderBy("place", "doc_id").collect():
+        if total + (r.n or 0) <= sample_chars:
+            total += r.n or 0
+            kept.append((r.doc_id,))
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(kept, rows.select("doc_id").schema))
+    taken = rows.join(wanted, "doc_id").orderBy("place", "doc_id").collect()
     return fit([r.text for r in taken], [r.toxic for r in taken])
 
 

@@ -188,14 +188,15 @@ def write_archives(pages: DataFrame, path: str, level: int = 1, min_revisit: int
     groups = known.groupBy("sha").agg(F.max("page_id").alias("best"), F.count("*").alias("rows")).filter("rows > 1").select("sha", "best")
     groups = small(stage(groups, "warc-groups"), GROUP_ROWS)
     own = rows.withColumn("_sha", F.when(F.octet_length("payload") >= min_revisit, F.sha2("payload", 256)))
+    # Ids go to Python as text: pandas would turn numbers next to a NULL into floats.
     decided = own.join(groups, F.col("_sha") == F.col("sha"), "left").select(
-        "page_id", "url", "payload", "best", (F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))).alias("revisit")
+        F.col("page_id").cast("string"), "url", "payload", F.col("best").cast("string"), (F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))).alias("revisit")
     )
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [None if pd.isna(i) else int(i) for i in batch["page_id"]]
-            best = [None if pd.isna(i) else int(i) for i in batch["best"]]
+            ids = [None if i is None else int(i) for i in batch["page_id"]]
+            best = [None if i is None else int(i) for i in batch["best"]]
             columns = zip(ids, batch["url"], batch["payload"], best, batch["revisit"], strict=True)
             yield pd.DataFrame({"m": [gzip.compress(record(i, u, p, b, r), level, mtime=0) for i, u, p, b, r in columns]})
 

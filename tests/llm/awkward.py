@@ -28,6 +28,10 @@ def make_docs(spark):
         if extra:
             for name in ("h", "fp", "size", "copies", "score", "cell", "label", "bucket", "n", "spans", "path", "vslot", "_order", "shard"):
                 df = df.selectExpr("*", f"'x' as {name}")
+            # Values that change on a way through pandas, a type without hash or order, and names that operators might add.
+            df = df.selectExpr(
+                "*", "if(doc_id % 2 = 0, null, 9007199254740993) as far", "timestamp'1500-01-01' as old", "map('a', doc_id) as pairs", "77 as _bench_n_hit", "78 as _overlaps"
+            )
         return df.repartition(3)
 
     return make
@@ -52,7 +56,8 @@ def awkward(seed=5, words=400):
 
 def awkward_rows(seed=5):
     rows = [(i * 3 + 7, t) for i, t in enumerate(awkward(seed))]
-    return [*rows, rows[2], rows[2], rows[-1], (None, rows[5][1]), (None, None)]
+    large = [(2**53 + 1, rows[4][1]), (2**53 + 2, rows[6][1]), (2**53 + 3, None), (2**53 + 4, rows[5][1] + " end"), (-(2**63), rows[3][1])]
+    return [*rows, rows[2], rows[2], rows[-1], (None, rows[5][1]), (None, None), *large]
 
 
 @pytest.fixture
