@@ -7,7 +7,6 @@ the last return the columns of ``documents``. Rows without text, empty texts and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from deskmart.llm import decontamination, mixing, simhash_neardup, slot_sharding, toxicity
 from deskmart.llm.common import read, ship, stage
@@ -29,8 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words is shared with the benchmark."""
     ship(spark)
-    found = decontamination.find_overlaps(docs, read(spark, sf_dir, "benchmark"), prefix="_bench_")
-    return found.filter(~decontamination.contaminated(F.col("_bench_n_hit"), F.col("_bench_n_words"))).select(*docs.columns)
+    return decontamination.keep_clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
