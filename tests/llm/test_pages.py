@@ -52,6 +52,55 @@ def test_short_article_is_found_by_its_host(spark):
     assert got[8][0] == "Tiny." and got[0][0] == " ".join(("Words that make a paragraph of some length. " * 20).split())
 
 
+def test_pages_of_another_template_keep_their_own(spark):
+    """Pages whose host's usual container is empty, holds a scrap, or is missing."""
+    long = "<p>" + "Words that make a paragraph of some length. " * 20 + "</p>"
+    told = " ".join(("Words that make a paragraph of some length. " * 20).split())
+    rows = [(i, "http://a.example/", f'<body><div class="main">{long}</div></body>', None) for i in range(60)]
+    others = ["", "Scrap.", "<p>See below.</p>"]
+    rows += [(100 + i, "http://a.example/", f'<body><div class="main">{o}</div><div class="story">{long}</div></body>', None) for i, o in enumerate(others)]
+    rows.append((200, "http://a.example/", f'<body><table><tr><td>{long}</td></tr></table></body>', None))
+    got = extract(spark, rows)
+    assert {got[i][0] for i in [*range(60), 100, 101, 102, 200]} == {told}
+
+
+def test_pages_without_a_host_do_not_vote_together(spark):
+    box = '<div class="x1"><p>' + "Unmarked text that stands on every page of this host. " * 3 + "</p></div>"
+    long = "<p>" + "Words that make a paragraph of some length. " * 20 + "</p>"
+    rows = [(i, url, f'<body>{box}<div class="main-{i}">{long}</div></body>', None) for i, url in enumerate([None, "", "mailto:a", "/x"] * 3)]
+    rows.append((99, None, f'<body>{box}<div class="main-8"><p>Tiny.</p></div></body>', None))
+    assert extract(spark, rows)[99][0].startswith("Unmarked")
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        '<p class="advert">Buy!</p>', "<p hidden>gone</p>", '<span style="display:none">gone</span>', '<ul><li class="comment">First!<li class="comment">Second</ul>',
+        '<h3 class="related">More</h3>', '<article class="comment"><p>First!</p></article>', '<div><p class="ad">x <b>y</b></p></div>',
+        '<span hidden>a <span>b</span> c</span>', '<p class="sponsored">unclosed',
+    ],
+)
+def test_marked_elements_are_left_out(inside):
+    html = f"<article><h1>Title</h1><p>Text before.</p>{inside}<p>Text <i class='x'>after</i>.</p></article>"
+    assert html_extraction.main_text(html, {}) == "Title Text before. Text after."
+
+
+def test_elements_inside_words_and_sentences():
+    html = '<article><p>It is <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, so wo<img src="a>b">rd.</p><p class="article-header lead">Kept</p></article>'
+    assert html_extraction.main_text(html, {}) == "It is x=1, so word. Kept"
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<![CDATA[", "<!x", "<a '\"", '<a ">" ', "<a ", "<!--", "</script ", "<p class='x\">", "<"])
+@pytest.mark.parametrize("end", ["", "'", "'>", '">', "]]>"])
+def test_time_is_linear_in_the_page(unit, end):
+    import time
+
+    page = "<p>start</p><script>" * (unit == "</script ") + unit * (1_000_000 // len(unit)) + end
+    began = time.process_time()
+    html_extraction.main_text(page, {})
+    assert time.process_time() - began < 12  # quadratic time would take hours
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, None),
