@@ -145,15 +145,16 @@ def test_round_trip(spark, tmp_path):
     rows = [(1, "http://a/ b\n", big, "z"), (2, "http://b/", big, "z"), (3, None, big, "z"), (4, "http://c/", "small", "z"), (5, "http://d/", "small", "z")]
     rows += [(6, "http://e/", None, "z"), (7, "http://f/", "WARC/1.1\r\n\r\n" * 200, "z"), (8, "http://g/", long, "z"), (None, "http://h/", big, "z")]
     rows += [(3, None, big, "z"), (None, None, "only" * 300, "z")]
+    rows += [(2**53 + 1, None, "p" * 2000, "z"), (2**53 + 3, None, "p" * 2000, "z")]
     path = write(tmp_path, spark, rows)
     got = warc.read_archives(spark, path).collect()
     assert all(r.reason is None for r in got) and len(got) == len(rows)
     expected = Counter()
     for i, url, html, _ in rows:
         data = (html or "").encode()
-        revisit = html == big and i != 3
+        revisit, best = (html == big and i != 3) or i == 2**53 + 1, 3 if html == big else 2**53 + 3
         told = None if url is None else url.replace(" ", "%20").replace("\n", "%0A")
-        expected[(i, told, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None)] += 1
+        expected[(i, told, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", best if revisit else None)] += 1
         assert any(r.page_id == i and r.payload == (None if revisit else data) for r in got)
     assert Counter((r.page_id, r.url, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected
 
@@ -173,7 +174,7 @@ def test_salvage_after_damage(packed):
 
     def read(data):
         found = list(warc.salvage(data))
-        return [warc.page_of(r.headers["warc-record-id"]) for _, _, r, _ in found if r], [(a, b) for a, b, r, _ in found if r is None]
+        return [warc.page_of(f.record.headers["warc-record-id"]) for f in found if f.record], [(f.start, f.end) for f in found if f.record is None]
 
     assert read(whole) == ([0, 1, 2, 3, 4, 5], [])
     middle = start[2] + len(parts[2]) // 2
@@ -188,6 +189,60 @@ def test_salvage_after_damage(packed):
     assert read(b"nothing here") == ([], [(0, 12)]) and read(b"") == ([], [])
 
 
+def _ids(found):
+    return [warc.page_of(f.record.headers["warc-record-id"]) for f in found if f.record]
+
+
+def test_archives_compressed_as_a_whole():
+    """One member with five records, the third damaged before compression: four records, one gap with its inner place."""
+    parts = list(RECORDS[:5])
+    at = parts[2].index(b"payload 2") + 3
+    parts[2] = parts[2][:at] + b"X" + parts[2][at + 1 :]
+    data = gzip.compress(b"".join(parts), mtime=0)
+    found = list(warc.salvage(data))
+    assert _ids(found) == [0, 1, 3, 4]
+    (gap,) = [f for f in found if f.record is None]
+    begin = len(parts[0]) + len(parts[1])
+    assert (gap.start, gap.end, gap.inner_start, gap.inner_end) == (0, len(data), begin, begin + len(parts[2]))
+    assert gap.reason == "block digest differs"
+    whole = list(warc.salvage(gzip.compress(b"".join(RECORDS), mtime=0) + gzip.compress(RECORDS[0], mtime=0)))
+    assert _ids(whole) == [0, 1, 2, 3, 4, 5, 0] and whole[1].inner_start == len(RECORDS[0]) and whole[-1].inner_start is None
+
+
+@pytest.mark.parametrize("cut", [True, False])
+def test_records_before_the_damage_of_a_member(cut):
+    import random
+
+    rng = random.Random(1)
+    parts = [warc.record(i, None, bytes(rng.randrange(256) for _ in range(30_000))) for i in range(6)]
+    data = gzip.compress(b"".join(parts), mtime=0)
+    at = len(data) * 7 // 12
+    broken = data[:at] if cut else data[:at] + bytes([data[at] ^ 0x55]) + data[at + 1 :]
+    tail = gzip.compress(RECORDS[0], mtime=0)
+    found = list(warc.salvage(broken + (b"" if cut else tail)))
+    ids = [warc.page_of(f.record.headers["warc-record-id"]) for f in found if f.record]
+    assert ids[:3] == [0, 1, 2] and (cut or ids[-1] == 0) and 3 not in ids
+    gaps = [f for f in found if f.record is None]
+    assert all(g.start == 0 and g.inner_start >= sum(map(len, parts[:3])) and g.reason for g in gaps)
+    assert max(g.end for g in gaps) == len(broken)
+
+
+def test_files_are_cut_by_bytes_and_found_by_name(spark, tmp_path):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, None, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(20_000)), None) for i in range(12)]
+    path = tmp_path / "cut"
+    warc.write_archives(spark.createDataFrame(rows, PAGES + ", payload string").coalesce(1), str(path), file_bytes=150_000)
+    files = list(path.rglob("*.txt"))
+    assert len(files) > 3 and max(f.stat().st_size for f in files) < 160_000
+    assert sorted(r.page_id for r in warc.read_archives(spark, str(path)).collect()) == list(range(12))
+    for name, data in (("a.warc", RECORDS[0]), ("b.warc.gz", gzip.compress(RECORDS[1])), ("c.warc.gz", gzip.compress(RECORDS[2] + RECORDS[3])), ("d.idx", b"no")):
+        (tmp_path / name).write_bytes(data)
+    got = warc.read_archives(spark, f"{tmp_path}/*.*").collect()
+    assert sorted(r.page_id for r in got) == [0, 1, 2, 3]
+
+
 def test_gaps_are_reported(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(gzip.compress(RECORDS[0]) + b"broken" + gzip.compress(RECORDS[1]))
     got = warc.read_archives(spark, str(tmp_path), with_payload=False).collect()
