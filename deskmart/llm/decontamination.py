@@ -9,24 +9,28 @@ to the spans around it.
 An item shorter than ``span`` words is one span as a whole; it is looked up by a hash of all its words, since
 windows of its length would keep every hash anyway.
 
-The benchmark is indexed in blocks of bounded size. Each block is broadcast and all documents pass by it, in
-one stage and without a shuffle, so the corpus is read once and its texts never move.
+Spark tasks fingerprint items and documents alike. The items' kept hashes, eight bytes each, go to the tasks as sorted numbers, in blocks of bounded size; where a
+document meets them, the spans around are compared by a digest of their words, in a join with the spans of the items. So the
+benchmark may grow like the corpus, and texts never move: results are joined by the digest of a text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType
+
+from deskmart.llm.common import small, stage
 
 SPAN = 13
 GRAM = 5
-BLOCK_WORDS = 2_000_000
+BLOCK_GRAMS = 4_000_000  # kept hashes sent at once, 32 MB
+SPAN_ROWS = 400_000  # broadcast at most
 
 # ASCII letters and digits, and every byte of other characters, make words; the rest separates them.
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -77,84 +81,125 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(high == hashes)
 
 
-@dataclass
-class BenchmarkBlock:
-    """Index of some items: word codes, kept hashes, and the spans with the items that hold them."""
-
-    span: int
-    gram: int
-    codes: dict[bytes, int] = field(default_factory=dict)
-    spans: dict[bytes, tuple[str | None, ...]] = field(default_factory=dict)  # codes of a span -> items
-    kept: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    whole: dict[int, np.ndarray] = field(default_factory=dict)  # item length below `span` -> hashes
-
-    @classmethod
-    def build(cls, items: list[tuple[str | None, list[bytes]]], span: int, gram: int) -> BenchmarkBlock:
-        block, spans, kept, whole = cls(span, gram), {}, set(), {}
-        for item, words in items:
-            codes = np.array([block.codes.setdefault(w, len(block.codes) + 1) for w in words], np.int32)
-            size = min(span, len(codes))
-            if size == 0:
-                continue
-            for i in range(len(codes) - size + 1):
-                spans.setdefault(codes[i : i + size].tobytes(), {})[item] = True
-            if size < span:
-                whole.setdefault(size, set()).add(int(gram_hashes(codes, size)[0]))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _digest(words: list[bytes]) -> bytes:
+    """Tells a span by its words; 128 bits stand for the comparison word by word."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def fingerprint_item(words: list[bytes], span: int, gram: int) -> tuple[int, list[int], list[bytes]]:
+    """Length of the spans of an item, its kept hashes, and digests of its spans."""
+    size = min(span, len(words))
+    if size == 0:
+        return 0, [], []
+    hashes = word_hashes(words)
+    if size < span:
+        kept = gram_hashes(hashes, size)
+    else:
+        kept = gram_hashes(hashes, gram)
+        kept = np.unique(kept[winnow(kept, span - gram + 1)])
+    return size, kept.view(np.int64).tolist(), [_digest(words[i : i + size]) for i in range(len(words) - size + 1)]
+
+
+def _meets(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+    return table[at] == hashes
+
+
+def candidate_spans(words: list[bytes], kept: dict[int, np.ndarray], span: int, gram: int) -> list[tuple[int, int, bytes]]:
+    """Start, length and digest of the spans of a document around its meetings with ``kept``, hashes by length of span."""
+    found: list[tuple[int, int]] = []
+    hashes = word_hashes(words) if words else np.zeros(0, np.uint64)
+    for size, table in kept.items():
+        if len(words) < size:
+            continue
+        if size < span:
+            found += [(s, size) for s in np.flatnonzero(_meets(gram_hashes(hashes, size), table)).tolist()]
+            continue
+        own = gram_hashes(hashes, gram)
+        places = winnow(own, span - gram + 1)
+        places = places[_meets(own[places], table)]
+        if len(places):
+            # Extend: every span of the document that holds a meeting.
+            starts = np.unique(places[:, None] - np.arange(span - gram + 1)[None, :])
+            found += [(s, span) for s in starts[(starts >= 0) & (starts + span <= len(words))].tolist()]
+    return [(s, n, _digest(words[s : s + n])) for s, n in found]
+
+
+def fingerprint_items(benchmark: DataFrame, span: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """``size, gram``, distinct kept hashes, and ``span, items``, the ids of the items that hold a span, of ``benchmark(item_id, text)``."""
+
+    def items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(i, *fingerprint_item(words_of(t), span, gram)) for i, t in zip(batch["item"], batch["text"], strict=True)]
+            yield pd.DataFrame(rows, columns=["item", "size", "grams", "spans"])
+
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    told = stage(rows.mapInPandas(items, "item string, size int, grams array<long>, spans array<binary>"), "benchmark")
+    grams = stage(told.select("size", F.explode("grams").alias("gram")).distinct(), "benchmark-grams")
+    spans = told.select("item", F.explode(F.array_distinct("spans")).alias("span")).groupBy("span").agg(F.collect_set("item").alias("items"))
+    return grams, stage(spans, "benchmark-spans")
+
+
+def _candidates(texts: DataFrame, grams: DataFrame, span: int, gram: int, block_grams: int) -> DataFrame:
+    """``key, n_words, start, size, span`` of all candidate spans of ``texts(key, text)``; hashes are sent in blocks of about ``block_grams``."""
+    context = texts.sparkSession.sparkContext
+    blocks, out = max(1, -(-grams.count() // block_grams)), None
+    for b in range(blocks):
+        table = grams.filter(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == b).toArrow()  # one block at a time
+        sizes, values = table["size"].to_numpy(), table["gram"].to_numpy().view(np.uint64)
+        sent = context.broadcast({int(n): np.sort(values[sizes == n]) for n in np.unique(sizes)})
+
+        def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for key, text in zip(batch["key"], batch["text"], strict=True):
+                    words = words_of(text)
+                    rows += [(key, len(words), *c) for c in candidate_spans(words, sent.value, span, gram)]
+                yield pd.DataFrame(rows, columns=["key", "n_words", "start", "size", "span"])
+
+        part = stage(texts.mapInPandas(scan, "key string, n_words long, start long, size long, span binary"), "benchmark-meetings")
+        out = part if out is None else out.unionByName(part)
+        sent.destroy()
+    return out
+
+
+def _merged(spans: pd.Series) -> list[list[dict]]:
+    """Runs of words that the spans of each row cover."""
+    out = []
+    for row in spans:
+        runs: list[list[int]] = []
+        for a, b in sorted((s["start"], s["end"]) for s in row):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
             else:
-                hashes = gram_hashes(codes, gram)
-                kept.update(hashes[winnow(hashes, span - gram + 1)].tolist())
-        block.spans = {k: tuple(v) for k, v in spans.items()}
-        block.kept = np.array(sorted(kept), np.uint64)
-        block.whole = {n: np.array(sorted(h), np.uint64) for n, h in whole.items()}
-        return block
-
-    def _meets(self, hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
-        if not len(table):
-            return np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-        return table[at] == hashes
-
-    def match(self, words: list[bytes]) -> list[tuple[int, int, tuple[str | None, ...]]]:
-        """Spans of a document that occur in items: start, end, items."""
-        look = self.codes.get
-        codes = np.array([look(w, 0) for w in words], np.int32)
-        found = {}
-        if self.kept.size and len(codes) >= self.span:
-            hashes = gram_hashes(codes, self.gram)
-            places = winnow(hashes, self.span - self.gram + 1)
-            places = places[self._meets(hashes[places], self.kept)]
-            if len(places):
-                # Extend: every span of the document around a meeting is compared word by word.
-                starts = np.unique(places[:, None] - np.arange(self.span - self.gram + 1)[None, :])
-                for s in starts[(starts >= 0) & (starts + self.span <= len(codes))].tolist():
-                    items = self.spans.get(codes[s : s + self.span].tobytes())
-                    if items:
-                        found[(s, s + self.span)] = items
-        for size, table in self.whole.items():
-            hashes = gram_hashes(codes, size)
-            for s in np.flatnonzero(self._meets(hashes, table)).tolist():
-                items = self.spans.get(codes[s : s + size].tobytes())
-                if items:
-                    found[(s, s + size)] = items
-        return [(a, b, items) for (a, b), items in sorted(found.items())]
-
-
-def benchmark_blocks(benchmark: DataFrame, span: int, gram: int, block_words: int) -> Iterator[BenchmarkBlock]:
-    """Indexes of the items in blocks of about ``block_words`` words; the driver holds one block at a time."""
-    block, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).toLocalIterator():
-        words = words_of(row.t)
-        if words:
-            block.append((row.i, words))
-            size += len(words)
-        if size >= block_words:
-            yield BenchmarkBlock.build(block, span, gram)
-            block, size = [], 0
-    if block:
-        yield BenchmarkBlock.build(block, span, gram)
-
-
-_FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+                runs.append([a, b])
+        out.append([{"start": a, "end": b} for a, b in runs])
+    return out
+
+
+def overlapping_texts(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """``key, n_words, n_hit, items, spans`` of each distinct text of ``docs(text)`` that shares a span; ``key`` is the MD5 of the text."""
+    grams, held = fingerprint_items(benchmark, span, gram)
+    texts = docs.select(F.md5(docs["text"].cast("string")).alias("key"), docs["text"].cast("string").alias("text")).filter("text is not null")
+    near = _candidates(texts, grams, span, gram, block_grams)
+    # Copies of a text give equal rows; a passage that many texts share is one span, so the join does not multiply.
+    near = near.distinct().join(small(held, SPAN_ROWS), "span")
+    whole = F.struct("start", (F.col("start") + F.col("size")).alias("end"))
+    by_text = near.groupBy("key").agg(
+        F.first("n_words").alias("n_words"), F.collect_list(whole).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+
+    @F.pandas_udf("array<struct<start:long,end:long>>")
+    def merged(spans: pd.Series) -> pd.Series:
+        return pd.Series(_merged(spans), dtype=object)
+
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    told = by_text.select("key", "n_words", "items", merged("all").alias("spans"))
+    return stage(told.withColumn("n_hit", hit), "benchmark-hits")
 
 
 def _free_name(df: DataFrame, name: str) -> str:
@@ -165,26 +210,8 @@ def _free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def _with_overlaps(docs: DataFrame, benchmark: DataFrame, name: str, span: int, gram: int, block_words: int) -> DataFrame:
-    """``docs`` and the struct ``name`` of what :func:`find_overlaps` tells; only texts and results pass through Python."""
-    context = docs.sparkSession.sparkContext
-    out = docs.withColumn(name, F.lit(None).cast(f"struct<{_FOUND.replace(' long', ':long').replace(' array', ':array')}>"))
-    blocks = [context.broadcast(b) for b in benchmark_blocks(benchmark, span, gram, block_words)]
-    for index in blocks or [context.broadcast(BenchmarkBlock(span, gram))]:
-
-        def scan(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]], index=index) -> Iterator[pd.DataFrame]:
-            for texts, items, spans in parts:
-                rows = [_overlap(index.value, t, i, s) for t, i, s in zip(texts, items, spans, strict=True)]
-                yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"]).astype({"n_words": "int64", "n_hit": "int64"})
-
-        # Not to be computed again for a filter on its result.
-        found = F.pandas_udf(scan, _FOUND, PandasUDFType.SCALAR_ITER).asNondeterministic()
-        out = out.withColumn(name, found(F.col("text").cast("string"), F.col(name)["items"], F.col(name)["spans"]))
-    return out
-
-
 def find_overlaps(
-    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_words: int = BLOCK_WORDS, prefix: str = "bench_"
+    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_grams: int = BLOCK_GRAMS, prefix: str = "bench_"
 ) -> DataFrame:
     """All columns of ``docs`` and what its ``text`` shares with the items of ``benchmark(item_id, text)``.
 
@@ -195,34 +222,29 @@ def find_overlaps(
     """
     names = {n: prefix + n for n in ("n_words", "n_hit", "items", "spans")}
     rest = docs.drop(*names.values())
-    found = _free_name(rest, "_overlaps")
-    out = _with_overlaps(rest, benchmark, found, span, gram, block_words)
-    return out.select(*rest.columns, *[F.col(found)[n].alias(name) for n, name in names.items()])
-
-
-def keep_clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that are not :func:`contaminated`, with the columns of ``docs`` as they are."""
-    found = _free_name(docs, "_overlaps")
-    out = _with_overlaps(docs, benchmark, found, span, gram, block_words)
-    return out.filter(~contaminated(F.col(found)["n_hit"], F.col(found)["n_words"])).drop(found)
-
-
-def _overlap(index: BenchmarkBlock, text: str | None, items, spans) -> tuple[int, int, list[str], list[dict]]:
-    """Numbers of words and hit words, items and merged spans, those of earlier blocks included."""
-    words = words_of(text)
-    found = index.match(words)
-    ids = set(items) if items is not None else set()
-    runs = sorted([(s["start"], s["end"]) for s in spans] if spans is not None else []) + [(a, b) for a, b, _ in found]
-    for _, _, of in found:
-        ids.update(i for i in of if i is not None)
-    merged: list[list[int]] = []
-    for a, b in sorted(runs):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    hit = sum(b - a for a, b in merged)
-    return len(words), hit, sorted(ids), [{"start": a, "end": b} for a, b in merged]
+    found = overlapping_texts(docs, benchmark, span, gram, block_grams)
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(words_of(t)) for t in texts], dtype="int64")
+
+    key, words, hit = (_free_name(rest, n) for n in ("_text_key", "_n_words", "_found"))
+    text = F.col("text").cast("string")
+    keyed = rest.withColumn(key, F.md5(text)).withColumn(words, count(text))
+    told = found.select(F.col("key").alias(f"{key}_"), F.struct("n_hit", "items", "spans").alias(hit))
+    joined = keyed.join(told, F.col(key) == F.col(f"{key}_"), "left")
+    empty = {"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "spans": F.array().cast("array<struct<start:long,end:long>>")}
+    added = [F.coalesce(F.col(hit)[n], none).alias(names[n]) for n, none in empty.items()]
+    return joined.select(*rest.columns, F.col(words).alias(names["n_words"]), *added)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """The rows of ``docs`` that are not :func:`contaminated`, with the columns of ``docs`` as they are. Of contaminated texts only the digest is sent to the rows."""
+    found = overlapping_texts(docs, benchmark, span, gram, block_grams)
+    key = _free_name(docs, "_text_key")
+    bad = stage(found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("key").alias(f"{key}_")), "contaminated")
+    keyed = docs.withColumn(key, F.md5(F.col("text").cast("string")))
+    return keyed.join(small(bad, SPAN_ROWS), F.col(key) == F.col(f"{key}_"), "left_anti").drop(key)
 
 
 def contaminated(n_hit, n_words):
