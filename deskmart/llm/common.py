@@ -109,6 +109,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
             if held and held + length > size:
                 yield pa.Table.from_batches([*waiting, batch.slice(start, i - start)])
                 waiting, held, start = [], 0, i
+                pa.default_memory_pool().release_unused()  # else a worker keeps the most that any chunk took
             held += int(length)
         waiting.append(batch.slice(start))
     if waiting:
