@@ -40,6 +40,7 @@ from deskmart.operators.rates import monthly_rates, vat_factors
 from deskmart.operators.relocation import relocation_deals
 from deskmart.operators.sizing import materialize, measured, together
 from deskmart.operators.skew import ROWS_PER_TASK, HotKeys, agree
+from deskmart.operators.texts import distinct_texts
 from deskmart.sources.roles import Roles
 
 RES, DEAL, MONTH = "primary_reservation_uuid", "deal_uuid", "sales_reporting_month"
@@ -91,15 +92,20 @@ def with_policy(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_sale_key(deals: DataFrame) -> DataFrame:
+    """``deals`` with the digest of their ids; a table laid out by it (``plans.layout``) has it already."""
+    return deals if SALE in deals.columns else deals.withColumn(SALE, row_key(*SALE_IDS))
+
+
 def resulting_desks():
     return F.when(~F.col("reservation_deal_activity").isin(*CLOSING_ACTIVITIES), F.col("primary_reservation_capacity_today"))
 
 
 # Counted for hot values; a join may use one of them that covers some of its columns.
-_SALE, _SPACE_DAY = (RES, DEAL, MONTH), ("reservable_uuid", "initial_sale_date")
+SALE_IDS, _SPACE_DAY = (RES, DEAL, MONTH), ("reservable_uuid", "initial_sale_date")
 # Ids may be NULL; where rows of a sale have to find each other, this digest of the three stands for them.
 SALE = "_sale"
-_JOIN_KEYS = [(DEAL,), (RES,), (RES, DEAL), (RES, MONTH), _SALE, (SALE,), (MONTH, DEAL), ("salesforce_opportunity_id",), _SPACE_DAY, (MONTH, "currency")]
+_JOIN_KEYS = [(DEAL,), (RES,), (RES, DEAL), (RES, MONTH), SALE_IDS, (SALE,), (MONTH, DEAL), ("salesforce_opportunity_id",), _SPACE_DAY, (MONTH, "currency")]
 
 # What the lookups of a sale depend on; few columns next to the width of a sale.
 LOOKUP_KEY = [
@@ -155,9 +161,9 @@ def sale_lookups(
     rows = hot.left_join(rows, moved.withColumn("_relocated", F.lit(True)), [DEAL])
     rows = hot.left_join(rows, discounts, ["reservable_uuid", "term", "initial_sale_date"], _SPACE_DAY)
     rows = hot.left_join(rows, referrals, ["salesforce_opportunity_id"])
-    rows = hot.left_join(rows, mails, _SALE)
-    rows = hot.left_join(rows, free, _SALE)
-    rows = hot.left_join(rows, vat, _SALE)
+    rows = hot.left_join(rows, mails, SALE_IDS)
+    rows = hot.left_join(rows, free, SALE_IDS)
+    rows = hot.left_join(rows, vat, SALE_IDS)
     rows = hot.left_join(rows, tags, [RES, MONTH])
     rows = with_latest_promo(rows, promos, hot)
     return hot.left_join(rows, notes, [RES]).select(*LOOKUP_KEY, *LOOKUPS)
@@ -209,7 +215,7 @@ def _joined_sales(
         kept = deals.filter(reported_sale(brand))
         if months is not None:
             kept = kept.filter(F.col(MONTH).between(F.lit(months[0]), F.lit(months[1])))
-        return kept.withColumns({"term": discount_term_bucket("resulting_commitment_term_months"), SALE: row_key(*_SALE)})
+        return with_sale_key(kept.withColumn("term", discount_term_bucket("resulting_commitment_term_months")))
 
     active = active_spaces(roles.spaces, measured(roles.accounts.filter("is_affiliate")))
     # Independent, and each much narrower than what it reads: computed side by side, then joined.
@@ -234,7 +240,7 @@ def _joined_sales(
     )
     ahead, hot, free, discounts = together(
         lambda: measured(forward_occupancy(by_sku).drop("location_name")),
-        lambda: HotKeys.find(deals.withColumn(SALE, row_key(*_SALE)), _JOIN_KEYS, rows_per_task),
+        lambda: HotKeys.find(with_sale_key(deals), _JOIN_KEYS, rows_per_task),
         lambda: materialize(free_months(roles.records, monthly_rate(deals, brand)).drop("MRR")),
         lambda: materialize(sale_discounts(sold(deals), roles.discount_versions, hot_versions)),
     )
@@ -247,8 +253,8 @@ def _joined_sales(
     buildings = reported_territories(roles.locations).select(
         F.col("uuid").alias("location_uuid"), "country", "market", "building_code"
     )
-    others = [c for c in LOOKUP_KEY if c not in _SALE]
-    found = lookups.withColumn(SALE, row_key(*_SALE)).drop(*_SALE).withColumnsRenamed({c: f"_of_{c}" for c in others})
+    others = [c for c in LOOKUP_KEY if c not in SALE_IDS]
+    found = lookups.withColumn(SALE, row_key(*SALE_IDS)).drop(*SALE_IDS).withColumnsRenamed({c: f"_of_{c}" for c in others})
 
     def told(rows: DataFrame) -> DataFrame:
         rows = hot.left_join(rows.join(buildings, "location_uuid"), rates, [MONTH, "currency"])
@@ -292,7 +298,7 @@ def with_numbers(joined: Joined) -> DataFrame:
     groups lie where the join with the lookups has left them, so a window finds the places; a group too large for a task is sorted by
     range and numbered in pieces.
     """
-    groups = joined.slim.groupBy(SALE, *_SALE).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
+    groups = joined.slim.groupBy(SALE, *SALE_IDS).agg(F.count("*").alias("_rows"), F.sum("resulting_desks").alias("_desks"))
     groups = rows_before(groups, [MONTH, DEAL, RES], "_rows", "_first")
     totals = groups.groupBy(MONTH, DEAL).agg(F.sum("_desks").alias("deal_capacity"))
     places = joined.hot.join(groups, totals, [MONTH, DEAL], "inner", null_safe=True).select(SALE, "_first", "deal_capacity")
@@ -321,7 +327,7 @@ def sales_mart(
     """
     joined = _joined_sales(roles, brand, as_of, rules, rows_per_task, months)
     rows, hot = with_numbers(joined), joined.hot
-    texts = roles.reservations.select(F.col("uuid").alias(RES), "notes", F.md5("notes").alias("_digest")).distinct()
+    texts = distinct_texts(roles.reservations.select(F.col("uuid").alias(RES), "notes"), "notes").withColumn("_digest", F.md5("notes"))
     rows = hot.left_join(rows, texts.hint("merge"), [RES], residual=agree(["_note"], ["_digest"])).drop("_digest")
     months = "resulting_commitment_term_months"
     rows = with_policy(rows.withColumn("max_discount", F.coalesce("recommended_discount", F.lit(0.0))))

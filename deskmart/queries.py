@@ -28,6 +28,7 @@ from deskmart.operators import (
     rates,
     relocation,
     renewals,
+    texts,
 )
 from deskmart.operators.sizing import materialize, scratch
 from deskmart.operators.skew import HotKeys
@@ -99,7 +100,7 @@ def project_rename(r):
 
 @query
 def distinct_project(r):
-    return r.reservations.select("uuid", "notes").distinct()
+    return texts.distinct_texts(r.reservations.select("uuid", "notes"), "notes")
 
 
 @query

@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from deskmart.operators import discounts, promos
-from deskmart.operators.ordering import number_rows, rows_before, running_over_groups, with_group_total
+from deskmart.operators import ordering
+from deskmart.operators.ordering import number_in_groups, number_rows, row_key, rows_before, running_over_groups, with_group_total
 from deskmart.operators.sizing import measured
 from deskmart.operators.skew import HotKeys
 
@@ -119,6 +120,25 @@ def test_numbers_of_ties_do_not_depend_on_the_layout(spark):
     same(*numbered)
 
 
+def test_numbers_in_groups_equal_the_window(spark, skewed, monkeypatch):
+    """No partition of the sorted rows holds a hot key alone, and the numbers are those of a window."""
+    rows, sorted_rows = skewed.withColumn("k", F.coalesce("k", F.lit("none"))), []
+    plain = ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df: sorted_rows.append(plain(df)) or sorted_rows[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else rows as few as these become one partition
+    ours = number_in_groups(rows, "k", [F.asc_nulls_last("v")], "n")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    same(ours, rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.asc_nulls_last("v")))))
+    part = F.shiftrightunsigned("_id", ordering._LOCAL_ROW_BITS)
+    assert max(r["count"] for r in sorted_rows[0].groupBy(part).count().collect()) < 1500
+
+
+def test_row_keys_tell_values_apart(spark):
+    values = [(None, None), (None, ""), ("", None), ("", ""), ("a", "b"), ("a:1:b", None), ("a", None), ("ab", ""), ("1:a", "b"), ("-", "-")]
+    keys = [r.k for r in spark.createDataFrame(values, "x string, y string").select(row_key("x", "y").alias("k")).collect()]
+    assert len(set(keys)) == len(values) and None not in keys
+
+
 def test_rows_before_groups(spark):
     groups = spark.range(500).selectExpr("if(id = 9, null, id * 37 % 501) as k", "id % 5 as c").repartition(7)
     got = {r.k: r.b for r in rows_before(groups, ["k"], "c", "b").collect()}
@@ -176,6 +196,19 @@ def test_promo_history_of_a_hot_term(spark):
     same(promos.latest_promo(rows), whole.filter("rank = 1").drop("rank"))
 
 
+def test_promo_history_of_vacant_spaces(spark):
+    """A third of the rows on no reservation and one term: salted on the way back, with the same outcome."""
+    space = "if(id % 3 = 0, null, concat('r', id % 40))"
+    rows = spark.range(3000).selectExpr(
+        f"{space} as reservation_uuid", "concat('l', id) as location_name", "'a' as account_name", "if(id % 3 = 0, 't', concat('t', id % 7)) as term_id",
+        "timestamp_ntz'2022-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 3 * (id % 2) as int)) as commitment_term_created_utc",
+        "timestamp_ntz'2022-02-01 00:00:00' as commitment_term_start_utc", "timestamp_ntz'2023-02-01 00:00:00' as commitment_term_end_utc",
+        "cast(null as timestamp_ntz) as commitment_term_cancelled_utc", "if(id % 5 = 0, null, concat('c', id % 11)) as applied_discount",
+    )
+    assert len(same(promos.latest_promo(rows, rows_per_task=50), promos.latest_promo(rows, rows_per_task=None))) > 1000
+    same(promos.promo_history(rows, rows_per_task=50), promos.promo_history(rows, rows_per_task=None))
+
+
 def test_discounts_of_a_hot_reservable(spark):
     day0 = date(2022, 1, 1)
     versions = [("hot", 1, datetime(2022, 1, 1 + i % 20), None if i % 9 == 0 else datetime(2022, 2, 1 + i % 20), None if i % 10 == 3 else -0.01 * (i % 30)) for i in range(300)]
