@@ -28,6 +28,7 @@ KNOWN_WORDS = 300_000  # most frequent words, sent to all tasks; the others are
 LONGEST_KNOWN = 64  # bytes; bounds what is sent
 KEPT_WORDS = 500_000  # distinct words that a task counts before it hands them over
 OUTPUT_ROWS = 1 << 13  # states whose outputs are computed together
+BLOCK = 1 << 10  # of them whose classes are computed at once, so that they stay in the processor's cache
 END = ""  # the token after the last word
 
 
@@ -43,7 +44,7 @@ class Shape:
     lanes: int = 256  # texts trained side by side, at most
     windows: int = 32  # that a pass over few texts has at least, by fewer lanes
     rounds: int = 3
-    every: int = 4  # one of so many training texts fits the weights
+    every: int = 1  # one of so many training texts fits the weights; 1: all of them
     rate: float = 0.05
     start: float = 1e-6  # of the sums of squared gradients
 
@@ -52,6 +53,10 @@ class Shape:
         return self.classes * self.class_size
 
 
+def _symbol_type(shape: Shape) -> type:
+    return np.int16 if shape.head + shape.endings < 1 << 15 else np.int32
+
+
 # Words
 
 
@@ -236,14 +241,25 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def step(w: Weights, symbols: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     """The next state, and what its errors need: update gate, reset gate, candidate, the state's part of it."""
+    return _step(w, w.gates[symbols], state)
+
+
+def _step(w: Weights, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     h = state.shape[1]
-    given, own = w.gates[symbols], state @ w.state
+    own = state @ w.state
     gate = _sigmoid(given[:, : 2 * h] + own[:, : 2 * h])
     update, reset = gate[:, :h], gate[:, h:]
     candidate = np.tanh(given[:, 2 * h :] + reset * own[:, 2 * h :])
     return candidate + update * (state - candidate), update, reset, candidate, own[:, 2 * h :]
 
 
+def _logits(weights: np.ndarray, bias: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """A row per output, a column per state."""
+    x = weights.T @ states.T
+    x += bias[:, None]
+    return x
+
+
 def _softmax(x: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-probability of one row per column, and all probabilities, in the place of ``x``."""
     x -= x.max(axis=0)
@@ -273,9 +289,11 @@ def _by_class(shape: Shape, targets: np.ndarray) -> tuple[np.ndarray, list[tuple
 def log_probabilities(w: Weights, shape: Shape, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithms of the probabilities of ``targets`` (a word, or a class of endings as a whole) after ``states``."""
     group, members = _by_class(shape, targets)
-    found = _log_softmax(w.outer.T @ states.T + w.outer_bias[:, None], group).astype(np.float64)
+    found = np.empty(len(targets))
+    for at in (slice(i, i + BLOCK) for i in range(0, len(targets), BLOCK)):
+        found[at] = _log_softmax(_logits(w.outer, w.outer_bias, states[at]), group[at])
     for k, at in members:
-        found[at] += _log_softmax(w.inner[k].T @ states[at].T + w.inner_bias[k][:, None], targets[at] % shape.class_size)
+        found[at] += _log_softmax(_logits(w.inner[k], w.inner_bias[k], states[at]), targets[at] % shape.class_size)
     return found
 
 
@@ -305,52 +323,71 @@ def scored(w: Weights, shape: Shape, symbols: np.ndarray, offsets: np.ndarray) -
             held = 0
 
 
-def gradients(w: Weights, shape: Shape, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[float, list, np.ndarray]:
+def gradients(
+    w: Weights, shape: Shape, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, state: np.ndarray, void: np.ndarray | None = None
+) -> tuple[float, list, np.ndarray]:
     """Loss and gradients over one window of (steps, lanes), and the state after it.
 
-    ``fresh`` marks steps at which a text begins, where the state starts anew. Errors flow back to the start of the window. The gradient of ``gates``
-    comes as (symbols, rows).
+    ``fresh`` marks steps at which a text begins, where the state starts anew; ``void`` marks those that hold no token and teach nothing. Errors flow back
+    to the start of the window. The gradient of ``gates`` comes as (symbols, rows).
     """
     steps, lanes = inputs.shape
     h = shape.hidden
-    kept, states = [], np.empty((steps, lanes, h), np.float32)
+    given, begins = w.gates[inputs], fresh.any(axis=1)
+    befores, candidates, owns, states = (np.empty((steps, lanes, h), np.float32) for _ in range(4))
+    gates = np.empty((steps, lanes, 2 * h), np.float32)
     for t in range(steps):
-        state = np.where(fresh[t][:, None], np.float32(0), state)
-        before = state
-        state, *inner = step(w, inputs[t], before)
-        kept.append((before, *inner))
+        if begins[t]:
+            state = np.where(fresh[t][:, None], np.float32(0), state)
+        befores[t] = state
+        state, gates[t, :, :h], gates[t, :, h:], candidates[t], owns[t] = _step(w, given[t], state)
         states[t] = state
     flat, wanted = states.reshape(-1, h), targets.ravel()
-    n = len(wanted)
+    told = None if void is None or not void.any() else ~void.ravel()
+    n, loss = len(wanted), 0.0
     group, members = _by_class(shape, wanted)
-    logs, wrong = _softmax(w.outer.T @ flat.T + w.outer_bias[:, None], group)
-    loss = -float(logs.sum())
-    wrong[group, np.arange(n)] -= 1
-    d_outer, d_outer_bias = (wrong @ flat).T, wrong.sum(axis=1)
-    d_states = (w.outer @ wrong).T.copy()
+    d_outer, d_outer_bias = np.zeros_like(w.outer), np.zeros_like(w.outer_bias)
+    d_states = np.empty((n, h), np.float32)
+    for at in (slice(i, i + BLOCK) for i in range(0, n, BLOCK)):
+        logs, wrong = _softmax(_logits(w.outer, w.outer_bias, flat[at]), group[at])
+        wrong[group[at], np.arange(len(logs))] -= 1
+        if told is not None:
+            logs, wrong = logs * told[at], wrong * told[at]
+        loss -= float(logs.sum())
+        d_outer += (wrong @ flat[at]).T
+        d_outer_bias += wrong.sum(axis=1)
+        d_states[at] = (w.outer @ wrong).T
     d_inner, d_inner_bias = np.zeros_like(w.inner), np.zeros_like(w.inner_bias)
     for k, at in members:
         own, column = flat[at], wanted[at] % shape.class_size
-        logs, wrong = _softmax(w.inner[k].T @ own.T + w.inner_bias[k][:, None], column)
-        loss -= float(logs.sum())
+        logs, wrong = _softmax(_logits(w.inner[k], w.inner_bias[k], own), column)
         wrong[column, np.arange(len(at))] -= 1
+        if told is not None:
+            logs, wrong = logs * told[at], wrong * told[at]
+        loss -= float(logs.sum())
         d_inner[k], d_inner_bias[k] = (wrong @ own).T, wrong.sum(axis=1)
         d_states[at] += (w.inner[k] @ wrong).T
     d_states = d_states.reshape(steps, lanes, h)
-    d_gates, d_state = np.empty((steps, lanes, 3 * h), np.float32), np.zeros_like(w.state)
-    later = np.zeros((lanes, h), np.float32)
+    # What does not depend on later errors, for all steps at once.
+    update, reset = gates[:, :, :h], gates[:, :, h:]
+    to_update = (befores - candidates) * update * (1 - update)
+    to_candidate = (1 - update) * (1 - candidates * candidates)
+    to_reset = owns * reset * (1 - reset)
+    d_candidates, d_own = np.empty((steps, lanes, h), np.float32), np.empty((steps, lanes, 3 * h), np.float32)
+    later, back = np.zeros((lanes, h), np.float32), np.ascontiguousarray(w.state.T)
     for t in reversed(range(steps)):
-        before, update, reset, candidate, own = kept[t]
-        d = d_states[t] + later
-        d_candidate = d * (1 - update) * (1 - candidate**2)
-        d_update = d * (before - candidate) * update * (1 - update)
-        d_reset = d_candidate * own * reset * (1 - reset)
-        d_gates[t] = np.concatenate([d_update, d_reset, d_candidate], axis=1)
-        d_own = np.concatenate([d_update, d_reset, d_candidate * reset], axis=1)
-        d_state += before.T @ d_own
-        later = np.where(fresh[t][:, None], np.float32(0), d * update + d_own @ w.state.T)
-    rows = d_gates.reshape(-1, 3 * h)
-    by_symbol = np.argsort(inputs.ravel(), kind="stable")
+        d, d_candidate, own = d_states[t] + later, d_candidates[t], d_own[t]
+        np.multiply(d, to_candidate[t], out=d_candidate)
+        np.multiply(d, to_update[t], out=own[:, :h])
+        np.multiply(d_candidate, to_reset[t], out=own[:, h : 2 * h])
+        np.multiply(d_candidate, reset[t], out=own[:, 2 * h :])
+        later = d * update[t] + own @ back
+        if begins[t]:
+            later = np.where(fresh[t][:, None], np.float32(0), later)
+    d_state = befores.reshape(-1, h).T @ d_own.reshape(-1, 3 * h)
+    d_own[:, :, 2 * h :] = d_candidates  # the gates take the candidate's error before its reset
+    rows = d_own.reshape(-1, 3 * h)
+    by_symbol = np.argsort(inputs.ravel().astype(_symbol_type(shape)), kind="stable")  # two bytes sort by radix
     symbols = inputs.ravel()[by_symbol]
     first = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))
     d_rows = np.add.reduceat(rows[by_symbol], first, axis=0)
@@ -377,26 +414,27 @@ class Trainer:
                 a -= rate * g / np.sqrt(seen)
 
     def train(self, symbols: np.ndarray, offsets: np.ndarray) -> float:
-        """One pass over the texts; the tokens that fill no whole lane wait for no one and are left out, at most one a lane. Returns the loss a token."""
+        """One pass over all tokens of the texts; where they do not fill the last lane, void steps do. Returns the loss a token."""
         s, n = self.shape, len(symbols)
-        lanes = max(1, min(s.lanes, n // (s.window * s.windows)))
-        steps = n // lanes
-        if not steps:
+        if not n:
             return 0.0
+        lanes = max(1, min(s.lanes, n // (s.window * s.windows)))
+        steps = -(-n // lanes)
         fresh = np.zeros(n, bool)
         fresh[offsets[:-1]] = True
         inputs = np.where(fresh, 0, np.append(0, symbols[:-1]))
-        cut = lanes * steps
-        inputs, targets, fresh = (x[:cut].reshape(lanes, steps).T for x in (inputs, symbols, fresh))
+        more = lanes * steps - n
+        void = np.arange(n + more) >= n
+        inputs, targets, fresh, void = (np.append(x, np.zeros(n + more - len(x), x.dtype)).reshape(lanes, steps).T for x in (inputs, symbols, fresh, void))
         state, loss = np.zeros((lanes, s.hidden), np.float32), 0.0
         for t in range(0, steps, s.window):
             part = slice(t, t + s.window)
-            told, grads, state = gradients(self.w, s, inputs[part], targets[part], fresh[part], state)
-            scale = 1.0 / (lanes * len(inputs[part]))
+            told, grads, state = gradients(self.w, s, inputs[part], targets[part], fresh[part], state, void[part])
+            scale = 1.0 / max(1, np.count_nonzero(~void[part]))
             self._move([(g[0], g[1] * scale) if isinstance(g, tuple) else g * scale for g in grads])
             loss += told
-        self.tokens += cut
-        return loss / cut
+        self.tokens += n
+        return loss / n
 
 
 # Over the corpus
@@ -416,7 +454,7 @@ def _trained(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
-    """Weights fitted on every ``shape.every``-th row of ``docs(doc_id, text)`` by hash: each round has its own rows, its tasks start alike, their results are averaged.
+    """Weights fitted on all rows of ``docs(doc_id, text)``: each round has its own rows, by hash, its tasks start alike, their results are averaged.
 
     A task a core trains a copy, so copies grow with the cluster and rows with the corpus. Only averages reach the driver.
     """
@@ -457,7 +495,7 @@ def _split(chunk: pa.Table, vocabulary: Vocabulary) -> tuple[dict[str, pa.Array]
         "words": pa.ListArray.from_arrays(bounds, rare["word"].combine_chunks()),
         "times": pa.ListArray.from_arrays(bounds, rare["word_count"].combine_chunks()),
     }
-    return columns, told.symbols.astype(np.int16 if shape.head + shape.endings < 1 << 15 else np.int32), np.diff(told.offsets)
+    return columns, told.symbols.astype(_symbol_type(shape)), np.diff(told.offsets)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], sent, schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -227,3 +227,42 @@ def test_words_of_texts():
     for w, p in zip(words.to_pylist(), parent):
         found[p].append(w)
     assert found == [_words(t) for t in texts]
+
+
+def test_training_reads_every_text(spark, make_docs, monkeypatch):
+    """By default the rounds together train on each text that is not held out, once."""
+    table = [(i, f"w{i} x w{i}") for i in range(300)] + [(None, "wn x wn"), (7, None)]
+    docs = make_docs(table)
+    taught = docs.filter(~recurrent_lm.held_out(docs["doc_id"]))
+    shape = recurrent_lm.Shape()
+    v = recurrent_lm.Vocabulary.gather(stage(recurrent_lm.word_counts(taught), "counts"), shape)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches, sent):
+        for batch in batches:
+            seen.add(batch.num_rows)
+        yield from ()
+
+    monkeypatch.setattr(recurrent_lm, "_trained", counted)
+    recurrent_lm.train(taught, v)
+    assert seen.value == sum(not _held_out(i) for i, _ in table)
+
+
+@pytest.mark.parametrize("n", [1, 7, 2 * 32 * 5 + 3, 1000])
+def test_training_moves_by_every_token(n, monkeypatch):
+    """Lanes that the tokens do not fill go on with void steps, which add nothing; no token is left out."""
+    w, shape = _random_weights()
+    symbols = np.random.default_rng(n).integers(0, shape.head + shape.endings, n).astype(np.int32)
+    told, plain = [], recurrent_lm.gradients
+
+    def counted(w, shape, inputs, targets, fresh, state, void):
+        told.extend(targets[~void].tolist())
+        found = plain(w, shape, inputs, targets, fresh, state, void)
+        again = plain(w, shape, np.where(void, 3, inputs), np.where(void, 1, targets), fresh, state, void)
+        assert found[0] == again[0] and all(np.array_equal(a, b) for a, b in zip(found[1][1:], again[1][1:]) if not void[:-1].any())
+        return found
+
+    monkeypatch.setattr(recurrent_lm, "gradients", counted)
+    trainer = recurrent_lm.Trainer(w, shape)
+    trainer.train(symbols, np.array([0, n]))
+    assert trainer.tokens == n and sorted(told) == sorted(symbols.tolist())
