@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from deskmart import queries as Q
 from deskmart.functions import expr as X
 from deskmart.functions.promo_rules import PROMO_RULES
-from deskmart.operators import lookups, occupancy, population, quality, texts
+from deskmart.operators import lookups, occupancy, population, quality, relocation, renewals, sizing, texts
 from deskmart.operators.sizing import materialize
 from deskmart.plans import inventory_mart as inventory
 from deskmart.plans import layout
@@ -297,3 +297,38 @@ def test_roles_of_a_catalog(spark):
 def test_sources_hold_no_collect_of_data():
     files = [p for p in (ROOT / "deskmart").rglob("*.py") if "llm" not in p.parts]
     assert [p.name for p in files if re.search(r"\.(collect|toPandas|toLocalIterator)\(", p.read_text())] == []
+
+
+def test_wide_sales_do_not_move_to_the_texts(roles, no_broadcast):
+    """The texts come to the sales: the wide rows of the whole mart move as often as without any text."""
+    rows = sales.with_numbers(sales._joined_sales(roles, Q.BRAND, Q.AS_OF, PROMO_RULES, None, None))
+    mart = sales.sales_mart(roles, Q.BRAND, Q.AS_OF, rows_per_task=None)
+    assert exchanges(mart, "city") == exchanges(rows, "city")
+
+
+def test_views_of_the_marts_share_a_layout(spark, no_broadcast):
+    """Lines and orders are dealt out once, whatever the number of views; the rows stay the same."""
+    own, plain = LazyRoles(spark, SF_DIR, lay_out=True), LazyRoles(spark, SF_DIR)
+    for role in ("spaces", "deals", "records", "desks"):
+        assert exchanges(own[role], "l_orderkey") <= 1 < exchanges(plain[role], "l_orderkey") + exchanges(plain[role], "o_orderkey")
+        assert sorted(map(str, own[role].collect())) == sorted(map(str, plain[role].collect())) != []
+
+
+def test_sales_of_no_desk_stay_if_relocated(roles):
+    """Sales of no desk go before the joins, unless a relocation counts one for them."""
+    mart = sales.sales_rows(roles, Q.BRAND, Q.AS_OF)
+    moved = {r.deal_uuid for r in relocation.relocation_deals(roles.desks, roles.reservables, roles.exits).collect()}
+    none = roles.deals.withColumn("gross_desk_sales", F.lit(0).cast("long"))
+    found = sales.sales_rows(Roles({**roles, "deals": none}), Q.BRAND, Q.AS_OF).collect()
+    want = [r.deal_uuid for r in mart.collect() if r.deal_uuid in moved]
+    assert {r.deal_uuid for r in found} >= set(want) and all(r.deal_uuid in moved and r.gross_desk_sales_mod == 1 for r in found)
+
+
+def test_terms_are_spread_by_their_number(roles, monkeypatch):
+    """The tasks that group commitment terms grow with the records; the classes stay the same."""
+    want = sorted(map(str, renewals.renewal_class(roles.records).collect()))
+    n = roles.records.count()
+    monkeypatch.setattr(sizing, "GROUPED_ROWS", n // 40)
+    classes = renewals.renewal_class(roles.records)
+    assert classes.rdd.getNumPartitions() >= 40
+    assert sorted(map(str, classes.collect())) == want
