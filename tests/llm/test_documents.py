@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -172,6 +173,40 @@ def test_hot_anchors_and_ids_are_split(spark, make_docs, monkeypatch, tmp_path):
     assert sizes["shard"] < 60_000 and sizes["bucket"] < 60_000, sizes
 
 
+def test_many_small_messages_cost_as_much_as_one_large():
+    """There are buckets times shards of them: at 6 GB millions, so what each costs by itself must be next to nothing."""
+    rng = np.random.default_rng(3)
+    snippets = [bytes(rng.integers(97, 123, 60).astype(np.uint8)) for _ in range(1500)] * 2
+    hashes = np.tile(np.repeat(np.arange(150, dtype=np.uint32), 10), 2)
+    owners = np.arange(len(snippets), dtype=np.int64)
+
+    def compared(counts):
+        ends = np.cumsum(counts).tolist()
+        parts = list(zip([0, *ends], ends))
+        kept = [suffix_dedup._packed(v, counts, up) for v, up in ((hashes, True), (np.full(len(snippets), 60, np.uint16), False), (owners, False))]
+        least = float("inf")
+        for _ in range(3):
+            start = time.process_time()
+            out = suffix_dedup.compare_snippets(kept[0], [b"".join(snippets[a:b]) for a, b in parts], kept[1], kept[2], 50)
+            least = min(least, time.process_time() - start)
+        return suffix_dedup._unpacked(out, np.uint64)[0].tolist(), least
+
+    one, once = compared(np.array([len(snippets)]))
+    many, often = compared(np.ones(len(snippets), np.int64))
+    assert one == many and one[1500:] == [(1 << 11) - 1] * 1500 and not any(one[:1500])
+    assert often < 4 * once + 0.1, (often, once)
+
+
+@pytest.mark.parametrize("dtype", [np.uint16, np.uint32, np.uint64, np.int64])
+def test_messages_are_read_as_written(dtype):
+    rng, counts = np.random.default_rng(5), np.array([0, 3, 0, 1, 200, 0])
+    values = rng.integers(0, 1 << 63, counts.sum(), dtype=np.uint64).astype(dtype)
+    for ascending in (False, True):
+        got, n = suffix_dedup._unpacked(suffix_dedup._packed(values, counts, ascending), dtype, ascending)
+        assert got.tolist() == values.tolist() and n.tolist() == counts.tolist()
+    assert not len(suffix_dedup._unpacked([], dtype, True)[0]) and suffix_dedup._packed(values[:0], counts[:0]) == []
+
+
 # SimHash
 
 
