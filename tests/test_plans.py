@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from datetime import date
 
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from deskmart import queries as Q
 from deskmart.functions import expr as X
 from deskmart.functions.promo_rules import PROMO_RULES
-from deskmart.operators import lookups, occupancy, population, quality, relocation, renewals, sizing, texts
+from deskmart.operators import lookups, occupancy, ordering, population, quality, relocation, renewals, sizing, texts
 from deskmart.operators.sizing import materialize
 from deskmart.plans import inventory_mart as inventory
 from deskmart.plans import layout
@@ -332,3 +333,70 @@ def test_terms_are_spread_by_their_number(roles, monkeypatch):
     classes = renewals.renewal_class(roles.records)
     assert classes.rdd.getNumPartitions() >= 40
     assert sorted(map(str, classes.collect())) == want
+
+
+@pytest.mark.parametrize("columns", [["reservable_uuid", "report_month"], ["date"], ["reservation_uuid"]])
+def test_some_columns_of_the_inventory(roles, no_broadcast, columns):
+    """The same rows, also of copies and of rows that differ in one other column; the others stay where they are."""
+    few = roles.spaces.limit(300)
+    odd = few.withColumns({"reservable_name": F.lit(None).cast("string"), "reservable_type": F.col("reservable_name")})
+    own = Roles({**roles, "spaces": roles.spaces.union(few).union(odd).union(odd), "rates": roles.rates.withColumn("budget_rate", F.col("budget_rate") * F.lit(-0.0))})
+    got, whole = inventory.inventory_rows(own, columns=columns), inventory.inventory_rows(own)
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(*columns).collect())) != []
+    assert [c for c in inventory.inventory_rows(own).columns if c in inventory.OWN] == inventory.OWN
+    # Accounts and buildings, which this test keeps from being broadcast, come first.
+    assert exchanges(got, "market_price_usd") < exchanges(whole, "market_price_usd")
+
+
+def test_hashes_tell_rows_apart(spark):
+    rows = [(None, "a", 0.0, 1), ("a", None, 0.0, 1), ("a", "", 0.0, 1), ("", "a", 0.0, 1), ("a", "", -0.0, 1), ("a", "", None, 1), ("a", "", float("nan"), 1), ("a", "", 0.0, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c double, d int")
+    hashed = df.select(*[h.alias(n) for n, h in zip("xy", ordering.row_hashes(df), strict=True)])
+    assert hashed.distinct().count() == hashed.select("x").distinct().count() == hashed.select("y").distinct().count() == df.distinct().count() == 7
+
+
+def test_wide_spaces_do_not_move_to_many_affiliates(roles, no_broadcast, monkeypatch):
+    """Affiliates too many to broadcast meet the ids of the spaces; the rows stay the same."""
+    monkeypatch.setattr(inventory, "measured", materialize)  # nothing is broadcast
+    before = inventory.inventory_rows(roles)
+    monkeypatch.setattr(inventory, "BROADCAST_ROWS", 0)
+    after = inventory.inventory_rows(roles)
+    assert exchanges(after, "reservable_type") == exchanges(before, "reservable_type") - 1
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect())) != []
+
+
+def test_joined_views_are_written_once(spark):
+    """Spaces and sales are read several times; their base tables are joined once."""
+    views = LazyRoles(spark, SF_DIR, lay_out=True)
+    for role in ("spaces", "deals"):
+        assert "Join" not in plan_of(views[role]) and "Aggregate" not in plan_of(views[role])
+
+
+def test_lookups_of_spaces_are_written_before_the_rows_move(roles, no_broadcast):
+    """The exchanges of the lookups are over and gone then: those of the last step carry the rows, or small tables."""
+    assert exchanges(inventory.inventory_rows(roles), "term_end_date") == exchanges(inventory.inventory_rows(roles), "end_at") == 0
+
+
+def test_finished_steps_leave_no_shuffle_files(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left():
+        blocks_now, n = blocks.getAllBlocks(), 0
+        for i in range(blocks_now.size()):
+            n += blocks_now.apply(i).name().startswith(f"shuffle_{shuffle}_")
+        return n
+
+    shuffle = spark.range(1).rdd.context._jsc.sc().newShuffleId() + 1
+    path = str(tmp_path / "step")
+    spark.range(100_000).repartition(7, "id").write.parquet(path)
+    assert left()
+    sizing.release(spark, path, least=1 << 40)  # too little to be worth it
+    time.sleep(2)
+    assert left()
+    for _ in range(30):
+        sizing.release(spark, path, least=1)
+        if not left():
+            break
+        spark.range(9).count()  # the last plan may be held until the next one
+        time.sleep(0.2)
+    assert not left()
